@@ -77,3 +77,10 @@ def split_rows(df: DataFrame, key: Column, percent: int = 70) -> tuple[DataFrame
     """Training and validation rows by a stable hash of the key."""
     train = in_training_part(key, percent)
     return df.where(train), df.where(~train)
+
+
+def weight_shares(items: DataFrame, group: str, weight: str = "_frequency") -> DataFrame:
+    """Share of each group in the total weight."""
+    sums = items.groupBy(group).agg(F.sum(weight).alias("_weight"))
+    total = items.agg(F.sum(weight)).scalar()
+    return sums.select(group, (F.col("_weight").cast("double") / total).alias("weight_share"))
