@@ -111,3 +111,8 @@ def scans_between(
             column = F.col("scan_datetime")
             typed = typed.where(column < as_text if below else column >= as_text)
     return typed
+
+
+def event_time(scans: DataFrame, name: str = "scan_ts") -> DataFrame:
+    """The scan time as a zoned timestamp, which stream watermarks need."""
+    return scans.withColumn(name, F.col(name).cast("timestamp"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillhouse.functions.records import check_contract
-from tillhouse.functions.temporal import parse_scan_time, scan_date
+from tillhouse.functions.temporal import event_time, parse_scan_time, scan_date
 from tillhouse.operators.versions import apply_changes, latest_per_key
 from tillhouse.streaming.logs import BATCH, write_log
 
@@ -63,7 +63,8 @@ def split_stream(
 
 def distinct_scans(scans: DataFrame, time: str, delay: str = "10 minutes") -> DataFrame:
     """Each scan and quantity once, although messages are repeated within the delay."""
-    return scans.withWatermark(time, delay).dropDuplicatesWithinWatermark(["scan_id", "unit_qty"])
+    once = event_time(scans, time).withWatermark(time, delay)
+    return once.dropDuplicatesWithinWatermark(["scan_id", "unit_qty"])
 
 
 def log_item_changes(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

@@ -43,7 +43,7 @@ def read_log(
     spark: SparkSession, path: str, schema: StructType, after_batch: int | None = None
 ) -> DataFrame:
     """All logged rows with their batch number; partitions prune on it."""
-    log = spark.read.schema(StructType(schema.fields).add(BATCH, "bigint")).parquet(path)
+    log = spark.read.schema(StructType([*schema.fields]).add(BATCH, "long")).parquet(path)
     return log if after_batch is None else log.where(F.col(BATCH) > after_batch)
 
 

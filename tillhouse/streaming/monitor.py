@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillhouse.functions.temporal import event_time
 from tillhouse.operators.activity import read_messages, zone_state
 from tillhouse.operators.versions import latest_per_key
 from tillhouse.streaming.logs import BATCH, write_log
@@ -15,16 +16,20 @@ ZONE_KEY = ["timezone"]
 
 
 def minute_counts(scans: DataFrame, time: str = "scan_ts", delay: str = "10 minutes") -> DataFrame:
-    """Scans, voids and units per minute and time zone."""
+    """Scans, voids and units per minute and time zone.
+
+    Watermarks need a zoned timestamp, so the wall clock is read as UTC (the
+    session zone of all jobs) and given back without a zone.
+    """
     return (
-        scans.withWatermark(time, delay)
+        event_time(scans, time).withWatermark(time, delay)
         .groupBy(F.window(time, "1 minute").alias("_window"), "timezone")
         .agg(
             F.count(F.lit(1)).alias("scans"),
             F.count(F.when(F.col("unit_qty") == 0, 1)).alias("voids"),
             F.sum("unit_qty").alias("units"),
         )
-        .select(F.col("_window.start").alias("minute"), "timezone", "scans", "voids", "units")
+        .select(F.col("_window.start").cast("timestamp_ntz").alias("minute"), "timezone", "scans", "voids", "units")
     )
 
 
