@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.functions.records import scan_json
+from tillhouse.functions.records import parsed_once, scan_json
 from tillhouse.functions.temporal import clock_text, format_time, utc_to_local, with_scan_time
 from tillhouse.schemas import ACTIVITY_MESSAGE, MESSAGE_TYPES
 
@@ -59,9 +59,9 @@ def read_messages(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse messages; ``problem`` names lines that are no JSON or of unknown type."""
     broken = "_broken_record"
     schema = T.StructType(ACTIVITY_MESSAGE.fields + [T.StructField(broken, T.StringType())])
-    parsed = lines.withColumn("_m", F.from_json(
+    parsed = lines.withColumn("_m", parsed_once(F.from_json(
         F.col(column), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
-    ))
+    )))
     malformed = F.col("_m").isNull() | F.col(f"_m.{broken}").isNotNull()
     known = F.coalesce(F.col("_m.type").isin(*MESSAGE_TYPES), F.lit(False))
     problem = F.when(malformed, F.lit("malformed")).when(~known, F.lit("unknown type"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.draws import pick
-from tillhouse.operators.dimensions import sized
+from tillhouse.operators.dimensions import BROADCAST_ROWS
 
 # Kinds of discount in the order they are drawn from, and the
 # ranges of the drawn value and duration.
@@ -49,10 +49,11 @@ def _offers_per_day(promotions: DataFrame) -> DataFrame:
     )
 
 
-def _scopes(promotions: DataFrame) -> list[tuple[str, ...]]:
-    """The sets of scope columns in use, at most eight."""
-    flags = promotions.select(*[F.col(c).isNotNull().alias(c) for c in SCOPE]).distinct().collect()
-    return sorted(tuple(c for c in SCOPE if row[c]) for row in flags)
+def _scopes(offers: DataFrame) -> list[tuple[tuple[str, ...], bool]]:
+    """The sets of scope columns in use, at most eight, and whether their offers fit a broadcast."""
+    flags = [F.col(c).isNotNull().alias(c) for c in SCOPE]
+    found = offers.groupBy(*flags).count().collect()
+    return sorted((tuple(c for c in SCOPE if row[c]), row["count"] <= BROADCAST_ROWS) for row in found)
 
 
 def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     price = F.col("unit_price").cast(EXACT)
     candidates = [price]
     joined = sales
-    for number, keys in enumerate(_scopes(promotions)):
+    for number, (keys, small) in enumerate(_scopes(offers)):
         in_scope = F.lit(True)
         for name in SCOPE:
             in_scope &= F.col(name).isNotNull() if name in keys else F.col(name).isNull()
@@ -82,7 +83,7 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
             F.max(F.when(kind == "AMT_OFF", value)).alias(amt),
             F.min(F.when(kind == "NEW_PRICE", value)).alias(new),
         )
-        joined = joined.join(sized(best), ["sale_date", *keys], "left")
+        joined = joined.join(F.broadcast(best) if small else best, ["sale_date", *keys], "left")
         kept_share = (F.lit(Decimal("100.00")) - F.col(pct)) * F.lit(Decimal("0.01"))
         candidates += [
             (F.col("unit_price") * kept_share).cast(EXACT),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.functions.money import gross, net_sale
+from tillhouse.functions.money import cents, gross_cents, net_sale, total
 from tillhouse.functions.temporal import month_start, scan_date, scans_between, with_scan_time
 from tillhouse.operators.dimensions import is_small
 
@@ -25,13 +25,13 @@ def _live_sales(scans: DataFrame, first: dt.date, until: dt.date | None) -> Data
 def sales_today(scans: DataFrame, today: dt.date) -> DataFrame:
     """Sales and number of scans from ``today`` on; one row, also without scans."""
     return _live_sales(scans, today, None).agg(
-        F.sum("net_sale").alias("net_sales"), F.count(F.lit(1)).alias("trx")
+        total(cents(F.col("net_sale"))).alias("net_sales"), F.count(F.lit(1)).alias("trx")
     )
 
 
 def daily_totals(scans: DataFrame, first: dt.date, until: dt.date) -> DataFrame:
     return _live_sales(scans, first, until).groupBy("scan_date").agg(
-        F.sum("net_sale").alias("total_net_sales"), F.count(F.lit(1)).alias("trx")
+        total(cents(F.col("net_sale"))).alias("total_net_sales"), F.count(F.lit(1)).alias("trx")
     )
 
 
@@ -56,7 +56,7 @@ def _star(scans: DataFrame, stores: DataFrame, items: DataFrame, categories: Dat
         month_start(F.col("scan_ts")).alias("year_month"),
         "store_id", "item_upc",
         F.col("unit_qty").alias("net_units"),
-        gross(F.col("unit_qty"), F.col("unit_price")).alias("net_sales"),
+        gross_cents(F.col("unit_qty"), F.col("unit_price")).alias("_cents"),
     )
     places = stores.select("store_id", "state", F.col("timezone").alias("region"))
     master = items.select(F.col("upc_code").alias("item_upc"), "category_code")
@@ -64,7 +64,7 @@ def _star(scans: DataFrame, stores: DataFrame, items: DataFrame, categories: Dat
     small = [is_small(d) for d in (places, master, names)]
     if not all(small):
         monthly = monthly.groupBy("year_month", "store_id", "item_upc").agg(
-            F.sum("net_units").alias("net_units"), F.sum("net_sales").alias("net_sales")
+            F.sum("net_units").alias("net_units"), F.sum("_cents").alias("_cents")
         )
     joined = monthly
     for dimension, key, fits in zip((places, master, names), ("store_id", "item_upc", "category_code"), small):
@@ -76,12 +76,14 @@ def monthly_detail(scans: DataFrame, stores: DataFrame, items: DataFrame, catego
     """Units and sales by month, item, state, zone and category."""
     return _star(scans, stores, items, categories).groupBy(
         "year_month", "item_upc", "state", "region", "category_code", "category_name"
-    ).agg(F.sum("net_units").alias("net_units"), F.sum("net_sales").alias("net_sales"))
+    ).agg(F.sum("net_units").alias("net_units"), total(F.col("_cents")).alias("net_sales"))
 
 
-def category_totals(rows: DataFrame) -> DataFrame:
+def category_totals(rows: DataFrame, net_sales: Column | None = None) -> DataFrame:
+    """Units and sales per category of a rollup, or of rows with another sales sum."""
+    sales = F.sum("net_sales") if net_sales is None else net_sales
     return rows.groupBy("category_code", "category_name").agg(
-        F.sum("net_units").alias("net_units"), F.sum("net_sales").alias("net_sales")
+        F.sum("net_units").alias("net_units"), sales.alias("net_sales")
     )
 
 
@@ -97,7 +99,8 @@ def top_categories(
     Sums of monthly sums equal sums of the joined rows, so the rows go to the
     category level in one aggregation.
     """
-    return top_rows(category_totals(_star(scans, stores, items, categories)), "net_sales", "category_code", n)
+    rows = _star(scans, stores, items, categories)
+    return top_rows(category_totals(rows, total(F.col("_cents"))), "net_sales", "category_code", n)
 
 
 def top_categories_from_rollup(rollup: DataFrame, n: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.functions.money import net_sale
+from tillhouse.functions.money import cents, net_sale, total
 from tillhouse.functions.temporal import scan_date, scans_between, with_scan_time
 from tillhouse.operators.dimensions import join_dimension
 from tillhouse.schemas import SYNTHETIC_ITEM_FLOOR
@@ -70,7 +70,7 @@ def sales_by_day(detail: DataFrame) -> DataFrame:
     return detail.groupBy(
         scan_date(F.col("scan_timestamp")).alias("scan_date"),
         "category_code", "category_name", "region",
-    ).agg(F.sum("unit_qty").alias("net_units"), F.sum("net_sale").alias("net_sales"))
+    ).agg(F.sum("unit_qty").alias("net_units"), total(cents(F.col("net_sale"))).alias("net_sales"))
 
 
 def sales_by_month(detail: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def sales_by_month(detail: DataFrame) -> DataFrame:
         F.year("scan_timestamp").alias("year"),
         F.month("scan_timestamp").alias("month"),
         "item_upc", "category_code", "category_name", "store_id", "city", "state", "region",
-    ).agg(F.sum("unit_qty").alias("net_units"), F.sum("net_sale").alias("net_sales"))
+    ).agg(F.sum("unit_qty").alias("net_units"), total(cents(F.col("net_sale"))).alias("net_sales"))
 
 
 def build_silver(

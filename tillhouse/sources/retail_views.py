@@ -7,9 +7,11 @@ tables, of one whole test table.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Made-up items start here in the test data, above any part key, so that the
 # catalogue filter keeps every part at any scale (production: 50000).
@@ -17,8 +19,15 @@ MADE_UP_FROM = 1_000_000_000_000
 MADE_UP_SIZE = 45
 
 
+@cache
+def _schema(path: str) -> T.StructType:
+    """Schema of a test table; the tables are read-only, so it is inferred once."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def category_code() -> Column:
