@@ -8,9 +8,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tillhouse import schemas
+from tillhouse import jobs, schemas
 from tillhouse.operators.promotions import best_prices, draft_promotions
-from tillhouse.operators.versions import read_snapshot
+from tillhouse.operators.versions import publish_views, read_snapshot
 from tillhouse.plans import dashboard, inventory, silver
 from tillhouse.sources import readers, writers
 from tillhouse.operators import dimensions
@@ -283,3 +283,27 @@ def test_detail_without_broadcast(bronze, monkeypatch):
     expected = rows(silver.sales_detail(bronze["scans"], bronze["stores"], dim))
     monkeypatch.setattr(dimensions, "is_small", lambda df, rows=0: False)
     assert rows(silver.sales_detail(bronze["scans"], bronze["stores"], dim)) == expected
+
+
+def test_jobs(spark, bronze, folder, capsys):
+    root, table = folder("bronze"), folder("inventory")
+    for name, place in jobs.BRONZE.items():
+        writers.overwrite_table(bronze[name], f"{root}/{place}")
+    silver_path = folder("silver")
+    jobs.main(["silver", "--bronze", root, "--silver", silver_path, "--full"])
+    jobs.main(["silver", "--bronze", root, "--silver", silver_path, "--run-date", "2024-01-02"])
+    assert readers.read_table(spark, f"{silver_path}/sales_detail").count() == 5
+    for _ in range(2):
+        jobs.main(["inventory", "--scans", f"{root}/retail_scans", "--table", table, "--run-date", "2024-01-03", "--lookback-days", "2"])
+        assert readers.read_table(spark, table).count() == 7
+    jobs.main(["dashboard", "--bronze", root, "--run-date", "2024-01-02"])
+    assert "48.00" in capsys.readouterr().out
+
+
+def test_views_for_sql(spark):
+    base = spark.createDataFrame([(1, 0, 5), (2, 0, 6)], "k int, seq int, v int")
+    log = spark.createDataFrame([(1, 1, 0)], "k int, seq int, v int")
+    for unique in (False, True):
+        publish_views("till_t", base, log, ["k"], [F.col("seq")], unique)
+        assert spark.sql("SELECT sum(v) FROM till_t_ro").first()[0] == 11
+        assert spark.sql("SELECT sum(v) FROM till_t_rt").first()[0] == 6

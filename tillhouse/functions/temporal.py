@@ -7,6 +7,7 @@ session time zone. Text that is no time becomes NULL.
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,11 @@ def date_in_zone(utc: Column, zone: str = REPORT_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("date")
 
 
+def today_in_zone(zone: str = REPORT_ZONE) -> dt.date:
+    """Today's date in ``zone``, the default argument of scheduled jobs."""
+    return dt.datetime.now(ZoneInfo(zone)).date()
+
+
 def zone_offset_hours(zone_name: Column) -> Column:
     """Whole hours in a name such as ``PST (GMT-08)``; 0 when there are none."""
     hours = F.regexp_extract(zone_name, ZONE_OFFSET, 1).try_cast("int")

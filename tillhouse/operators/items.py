@@ -34,7 +34,7 @@ def update_prices(items: DataFrame, chosen: DataFrame, draw: Column) -> DataFram
 
 def remove_rows(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``gone``; duplicates among the rest stay."""
-    return rows.join(sized(gone.select(key).distinct()), key, "left_anti").select(*rows.columns)
+    return rows.join(sized(gone.select(key)), key, "left_anti").select(*rows.columns)
 
 
 def next_item_id(items: DataFrame, floor: int = SYNTHETIC_ITEM_FLOOR) -> DataFrame:
@@ -48,13 +48,12 @@ def unseen_codes(candidates: DataFrame, items: DataFrame, code: str = "upc_code"
 
     Of several candidates with one code the first by all columns stays.
     """
-    known = items.select(code).distinct()
     first = W.partitionBy(code).orderBy(*candidates.columns)
     return (
         candidates.withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") == 1)
         .drop("_rank")
-        .join(known, code, "left_anti")
+        .join(items.select(code), code, "left_anti")
         .select(*candidates.columns)
     )
 

@@ -22,7 +22,7 @@ def orphan_keys(
     """
     rows = child if checked is None else child.where(checked)
     used = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("orphan_rows"))
-    known = parent.select(F.col(parent_key or on).alias(on)).distinct()
+    known = parent.select(F.col(parent_key or on).alias(on))
     return used.join(sized(known), on, "left_anti")
 
 

@@ -29,9 +29,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def read_snapshot(
-    base: DataFrame, log: DataFrame, keys: Sequence[str], order: Sequence[Column]
+    base: DataFrame,
+    log: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    unique_base: bool = False,
 ) -> DataFrame:
-    """Real-time view of a table: base files merged with the later versions."""
+    """Real-time view of a table: base files merged with the later versions.
+
+    ``unique_base`` states that the base holds one row per key, as every
+    upserted table does. Then the log is reduced on its own and merged, and a
+    large base with a small log is not shuffled at all. A base filled by plain
+    appends may repeat keys and goes through the comparison with the log.
+    """
+    if unique_base:
+        return merge_latest(base, latest_per_key(log, keys, order), keys, order)
     return latest_per_key(base.unionByName(log), keys, order)
 
 
@@ -80,3 +92,12 @@ def apply_changes(
         touched_old = old.join(sized(written.select(*keys)), list(keys), "left_semi")
         written = written.join(touched_old, list(keys), "left")
     return untouched.select(*table.columns).unionByName(written.select(*table.columns))
+
+
+def publish_views(
+    name: str, base: DataFrame, log: DataFrame, keys: Sequence[str], order: Sequence[Column],
+    unique_base: bool = False,
+) -> None:
+    """Views for SQL users: ``<name>_ro`` shows base files, ``<name>_rt`` the snapshot."""
+    base.createOrReplaceTempView(f"{name}_ro")
+    read_snapshot(base, log, keys, order, unique_base).createOrReplaceTempView(f"{name}_rt")

@@ -12,7 +12,7 @@ from tillhouse.functions.records import check_contract, scan_json as scan_record
 from tillhouse.functions.temporal import is_due
 from tillhouse.operators import items as item_ops
 from tillhouse.operators.quality import duplicate_keys, orphan_keys
-from tillhouse.operators.versions import apply_changes as apply_feed, latest_per_key, read_snapshot
+from tillhouse.operators.versions import apply_changes as apply_feed, latest_per_key, publish_views, read_snapshot
 from tillhouse.registry.core import query
 from tillhouse.session import new_folder
 from tillhouse.sources import retail_views as rv
@@ -50,6 +50,36 @@ def snapshot_read(spark, sf):
     return read_snapshot(base, log, ["version_key"], [F.col(c) for c in VERSION_ORDER])
 
 
+@query("scan_id text, unit_qty bigint, unit_price double", "SELECT scan_id, unit_qty, unit_price FROM scans", ["scans"])
+def snapshot_read_unique_base(spark, sf):
+    """Sales in the base, voids in the log: the base is merged without a shuffle while the log is small."""
+    columns = ("scan_id", "unit_qty", "unit_price")
+    base = rv.scans(spark, sf, voided=False).select(*columns, F.lit(0).alias("version"))
+    log = rv.scans(spark, sf).where("unit_qty = 0").select(*columns, F.lit(1).alias("version"))
+    return read_snapshot(base, log, ["scan_id"], [F.col("version")], unique_base=True)
+
+
+@query(
+    "category_code bigint, trx bigint, net_sales double",
+    """SELECT category_code, count(*) AS trx, sum(unit_qty * base_price) AS net_sales
+       FROM scans JOIN items ON item_upc = upc_code WHERE unit_qty <> 0 GROUP BY ALL""",
+    ["scans", "items"],
+)
+def sql_on_views(spark, sf):
+    """A report in SQL text on the base and snapshot views."""
+    columns = ("scan_id", "item_upc", "unit_qty")
+    base = rv.scans(spark, sf, voided=False).select(*columns, F.lit(0).alias("version"))
+    log = rv.scans(spark, sf).where("unit_qty = 0").select(*columns, F.lit(1).alias("version"))
+    publish_views("retail_scans", base, log, ["scan_id"], [F.col("version")], unique_base=True)
+    items = rv.items(spark, sf).withColumn("version", F.lit(0))
+    publish_views("retail_item_master", items, items.limit(0), ["item_id"], [F.col("version")], unique_base=True)
+    return spark.sql("""
+        SELECT category_code, count(*) AS trx, sum(unit_qty * base_price) AS net_sales
+        FROM retail_scans_rt JOIN retail_item_master_ro ON item_upc = upc_code
+        WHERE unit_qty != 0
+        GROUP BY category_code""")
+
+
 @query(_VERSION, _LATEST, ["scans"])
 def upsert_moving_partitions(spark, sf):
     """Upsert by one key where a later version may lie in another partition."""
