@@ -213,3 +213,16 @@ def test_draw_lookup_survives_without_broadcast(spark, monkeypatch):
     master = spark.createDataFrame([(1, 3), (2, 1)], "item_id int, _frequency int")
     picked = sampling.pick_by_weight(spark.range(1, 5).toDF("draw"), totals.cumulative_weights(master)).orderBy("draw")
     assert [r["item_id"] for r in picked.collect()] == [1, 1, 1, 2]
+
+
+def test_merge_with_null_keys_and_ties(spark):
+    schema = "a int, b int, seq int, v string"
+    table = spark.createDataFrame([(1, None, 1, "old"), (1, 2, 1, "old"), (None, None, 5, "old")], schema)
+    newest = spark.createDataFrame([(1, None, 1, "new"), (None, None, 4, "new"), (2, None, 1, "new")], schema)
+    keys, by = ["a", "b"], [F.col("seq")]
+    expected = {(1, None, 1, "new"), (1, 2, 1, "old"), (None, None, 5, "old"), (2, None, 1, "new")}
+    merged = versions.merge_latest(table, newest, keys, by)
+    again = versions.merge_latest(merged, newest, keys, by)
+    for result in (merged, again, versions.read_snapshot(table, newest, keys, by)):
+        found = [tuple(r) for r in result.collect()]
+        assert set(found) == expected and len(found) == 4

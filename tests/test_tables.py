@@ -307,3 +307,12 @@ def test_views_for_sql(spark):
         publish_views("till_t", base, log, ["k"], [F.col("seq")], unique)
         assert spark.sql("SELECT sum(v) FROM till_t_ro").first()[0] == 11
         assert spark.sql("SELECT sum(v) FROM till_t_rt").first()[0] == 6
+
+
+def test_upsert_keeps_the_partition_type(spark, folder):
+    path = folder("upsert")
+    schema = "k int, v int, p string"
+    writers.write_partitioned(spark.createDataFrame([(1, 1, "007"), (2, 1, "010")], schema), path, ["p"])
+    writers.upsert_table(spark, path, spark.createDataFrame([(1, 2, "007"), (3, 2, "010")], schema), ["k"], [F.col("v")], ["p"], True)
+    table = spark.read.schema(schema).parquet(path)
+    assert rows(table) == [(1, 2, "007"), (2, 1, "010"), (3, 2, "010")]

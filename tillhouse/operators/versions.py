@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,6 +30,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     )
 
 
+def _with_keys_of(
+    table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Join on the keys, where NULL equals NULL as it does within a window."""
+    marked = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *extra)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return table.join(sized(marked), same, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def _latest_of_both(
+    older: DataFrame, newer: DataFrame, keys: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Latest per key of two tables; on a tie the newer table wins."""
+    both = older.withColumn("_newer", F.lit(0)).unionByName(
+        newer.select(*older.columns).withColumn("_newer", F.lit(1))
+    )
+    return latest_per_key(both, keys, [*order, F.col("_newer")]).drop("_newer")
+
+
 def read_snapshot(
     base: DataFrame,
     log: DataFrame,
@@ -44,7 +65,7 @@ def read_snapshot(
     """
     if unique_base:
         return merge_latest(base, latest_per_key(log, keys, order), keys, order)
-    return latest_per_key(base.unionByName(log), keys, order)
+    return _latest_of_both(base, log, keys, order)
 
 
 def merge_latest(
@@ -57,18 +78,14 @@ def merge_latest(
     """Upsert ``newest`` (one row per key) into ``table`` (one row per key).
 
     Table rows without an update pass an anti-join and are never shuffled while
-    the update keys fit in a broadcast; only rows in conflict are compared.
-    ``incoming_wins`` replaces them without comparing.
+    the update keys fit in a broadcast; only rows in conflict are compared, and
+    the update wins a tie. ``incoming_wins`` replaces them without comparing.
     """
-    touched_keys = sized(newest.select(*keys))
-    untouched = table.join(touched_keys, list(keys), "left_anti")
+    untouched = _with_keys_of(table, newest, keys, "left_anti")
     if incoming_wins:
-        return untouched.select(*table.columns).unionByName(newest.select(*table.columns))
-    conflicting = table.join(touched_keys, list(keys), "left_semi")
-    winners = latest_per_key(
-        conflicting.select(*table.columns).unionByName(newest.select(*table.columns)), keys, order
-    )
-    return untouched.select(*table.columns).unionByName(winners)
+        return untouched.unionByName(newest.select(*table.columns))
+    conflicting = _with_keys_of(table, newest, keys, "left_semi")
+    return untouched.unionByName(_latest_of_both(conflicting, newest, keys, order))
 
 
 def apply_changes(
@@ -84,14 +101,13 @@ def apply_changes(
     update and are NULL on an insert.
     """
     last = latest_per_key(changes, keys, order)
-    untouched = table.join(sized(last.select(*keys)), list(keys), "left_anti")
+    untouched = _with_keys_of(table, last, keys, "left_anti")
     written = last.where(F.col(op) != DELETE)
     missing = [c for c in table.columns if c not in changes.columns]
     if missing:
-        old = table.select(*keys, *missing)
-        touched_old = old.join(sized(written.select(*keys)), list(keys), "left_semi")
-        written = written.join(touched_old, list(keys), "left")
-    return untouched.select(*table.columns).unionByName(written.select(*table.columns))
+        old = _with_keys_of(table.select(*keys, *missing), written, keys, "left_semi")
+        written = _with_keys_of(written, old, keys, "left", missing)
+    return untouched.unionByName(written.select(*table.columns))
 
 
 def publish_views(

@@ -41,13 +41,15 @@ def local_session(cores: int = 8, app: str = "tillhouse") -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only where ``spark.checkpoint.dir`` is unset (single-machine tests) a
-    temporary folder is made and remembered in the session.
+    Only where ``spark.checkpoint.dir`` is unset and Spark runs on a single
+    machine (tests) a temporary folder is made and remembered in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("tillhouse.shared.root", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillhouse-")
         spark.conf.set("tillhouse.shared.root", root)
     return root.rstrip("/")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators.versions import latest_per_key, merge_latest
 from tillhouse.session import staged
@@ -78,6 +79,19 @@ def register_table(
     _writer(df, partition_by, source).mode(mode).option("path", path).saveAsTable(name)
 
 
+def _read_like(
+    spark: SparkSession, path: str, source: str, like: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """Read a table with the partition types of ``like``: folder names carry no
+    types, and a guess would turn the text ``007`` into a number."""
+    table = spark.read.format(source).load(path)
+    wanted = {name: like.schema[name].dataType for name in partition_by}
+    if all(table.schema[name].dataType == kind for name, kind in wanted.items()):
+        return table
+    fields = [T.StructField(f.name, wanted.get(f.name, f.dataType)) for f in table.schema]
+    return spark.read.format(source).schema(T.StructType(fields)).load(path)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -100,7 +114,7 @@ def upsert_table(
     elsewhere, and their partitions are rewritten too.
     """
     newest = staged(latest_per_key(updates, keys, order), "upsert")
-    table = spark.read.format(source).load(path)
+    table = _read_like(spark, path, source, newest, partition_by)
     touched = newest.select(*partition_by)
     if not partition_fixed_by_key:
         older = table.join(newest.select(*keys), list(keys), "left_semi").select(*partition_by)
