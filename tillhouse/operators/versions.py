@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillhouse.operators.dimensions import sized
+from tillhouse.operators.dimensions import is_small
 
 DELETE = "D"
 
@@ -31,12 +31,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def _with_keys_of(
-    table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, extra: Sequence[str] = ()
+    table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, small: bool,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Join on the keys, where NULL equals NULL as it does within a window."""
+    """Join on the keys, where NULL equals NULL as it does within a window.
+
+    ``small`` says that a count has proven ``other`` to fit a broadcast.
+    """
     marked = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *extra)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return table.join(sized(marked), same, how).drop(*[f"_key_{k}" for k in keys])
+    joined = table.join(F.broadcast(marked) if small else marked, same, how)
+    return joined.drop(*[f"_key_{k}" for k in keys])
 
 
 def _latest_of_both(
@@ -64,7 +69,8 @@ def read_snapshot(
     appends may repeat keys and goes through the comparison with the log.
     """
     if unique_base:
-        return merge_latest(base, latest_per_key(log, keys, order), keys, order)
+        newest = latest_per_key(log, keys, order)
+        return merge_latest(base, newest, keys, order, small=is_small(log) or is_small(newest))
     return _latest_of_both(base, log, keys, order)
 
 
@@ -74,17 +80,20 @@ def merge_latest(
     keys: Sequence[str],
     order: Sequence[Column],
     incoming_wins: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Upsert ``newest`` (one row per key) into ``table`` (one row per key).
 
     Table rows without an update pass an anti-join and are never shuffled while
     the update keys fit in a broadcast; only rows in conflict are compared, and
     the update wins a tie. ``incoming_wins`` replaces them without comparing.
+    ``small`` passes on a size check of the updates that was made before.
     """
-    untouched = _with_keys_of(table, newest, keys, "left_anti")
+    small = is_small(newest) if small is None else small
+    untouched = _with_keys_of(table, newest, keys, "left_anti", small)
     if incoming_wins:
         return untouched.unionByName(newest.select(*table.columns))
-    conflicting = _with_keys_of(table, newest, keys, "left_semi")
+    conflicting = _with_keys_of(table, newest, keys, "left_semi", small)
     return untouched.unionByName(_latest_of_both(conflicting, newest, keys, order))
 
 
@@ -101,12 +110,14 @@ def apply_changes(
     update and are NULL on an insert.
     """
     last = latest_per_key(changes, keys, order)
-    untouched = _with_keys_of(table, last, keys, "left_anti")
+    # Counting the feed itself is cheaper and bounds the number of its keys.
+    small = is_small(changes) or is_small(last)
+    untouched = _with_keys_of(table, last, keys, "left_anti", small)
     written = last.where(F.col(op) != DELETE)
     missing = [c for c in table.columns if c not in changes.columns]
     if missing:
-        old = _with_keys_of(table.select(*keys, *missing), written, keys, "left_semi")
-        written = _with_keys_of(written, old, keys, "left", missing)
+        old = _with_keys_of(table.select(*keys, *missing), written, keys, "left_semi", small)
+        written = _with_keys_of(written, old, keys, "left", small, missing)
     return untouched.unionByName(written.select(*table.columns))
 
 
