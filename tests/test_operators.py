@@ -226,3 +226,14 @@ def test_merge_with_null_keys_and_ties(spark):
     for result in (merged, again, versions.read_snapshot(table, newest, keys, by)):
         found = [tuple(r) for r in result.collect()]
         assert set(found) == expected and len(found) == 4
+
+
+def test_unknown_order_is_the_oldest(spark):
+    table = spark.createDataFrame([(1, None, 10), (2, 5, 20), (3, None, 30)], SCHEMA)
+    newest = spark.createDataFrame([(1, 1, 11), (2, None, 21), (3, None, 31)], SCHEMA)
+    expected = [(1, 1, 11), (2, 5, 20), (3, None, 31)]
+    by = [F.col("seq")]
+    for result in (versions.merge_latest(table, newest, ["k"], by), versions.read_snapshot(table, newest, ["k"], by)):
+        assert sorted((tuple(r) for r in result.collect()), key=lambda r: r[0]) == expected
+    always = versions.merge_latest(table, newest, ["k"], by, incoming_wins=True)
+    assert rows(always.select("k", "v")) == [(1, 11), (2, 21), (3, 31)]

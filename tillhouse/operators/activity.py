@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from tillhouse.functions.records import parsed_once, scan_json
 from tillhouse.functions.temporal import clock_text, format_time, utc_to_local, with_scan_time
+from tillhouse.operators.totals import running_total
 from tillhouse.schemas import ACTIVITY_MESSAGE, MESSAGE_TYPES
+from tillhouse.session import staged
 
 
 def distinct_timezones(stores: DataFrame) -> DataFrame:
@@ -42,6 +44,19 @@ def minute_batches(scans: DataFrame) -> DataFrame:
     )
 
 
+def running_batches(scans: DataFrame, per_zone: bool = False) -> DataFrame:
+    """Minute batches with the cumulative number of records, over all or per time zone.
+
+    The batches are few and used twice, so they are written once; the scans are
+    read once.
+    """
+    batches = staged(minute_batches(scans), "minutes")
+    order = ["minute"] if per_zone else ["minute", "timezone"]
+    return running_total(
+        batches, "batch_count", order, F.col("minute").cast("date"), ["timezone"] if per_zone else []
+    )
+
+
 def scans_messages(batches: DataFrame) -> DataFrame:
     """Minute batches as ``scans`` messages; the minute is taken as UTC."""
     return batches.select(F.to_json(F.struct(

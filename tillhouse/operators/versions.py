@@ -32,7 +32,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 def _with_keys_of(
     table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, small: bool,
-    extra: Sequence[str] = (),
+    extra: Sequence[str] = (), condition: Column | None = None,
 ) -> DataFrame:
     """Join on the keys, where NULL equals NULL as it does within a window.
 
@@ -40,7 +40,8 @@ def _with_keys_of(
     """
     marked = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *extra)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    joined = table.join(F.broadcast(marked) if small else marked, same, how)
+    on = same if condition is None else same & condition
+    joined = table.join(F.broadcast(marked) if small else marked, on, how)
     return joined.drop(*[f"_key_{k}" for k in keys])
 
 
@@ -84,17 +85,27 @@ def merge_latest(
 ) -> DataFrame:
     """Upsert ``newest`` (one row per key) into ``table`` (one row per key).
 
-    Table rows without an update pass an anti-join and are never shuffled while
-    the update keys fit in a broadcast; only rows in conflict are compared, and
-    the update wins a tie. ``incoming_wins`` replaces them without comparing.
-    ``small`` passes on a size check of the updates that was made before.
+    The table is read once in full, through an anti-join that drops the rows an
+    update replaces, and once more with only its key and order columns, to find
+    the updates that come too late. While the updates fit in a broadcast no
+    table row is shuffled. An update wins a tie; ``incoming_wins`` lets it win
+    always and saves the second read. ``small`` passes on a size check of the
+    updates that was made before.
     """
     small = is_small(newest) if small is None else small
-    untouched = _with_keys_of(table, newest, keys, "left_anti", small)
+    newest = newest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
     if incoming_wins:
-        return untouched.unionByName(newest.select(*table.columns))
-    conflicting = _with_keys_of(table, newest, keys, "left_semi", small)
-    return untouched.unionByName(_latest_of_both(conflicting, newest, keys, order))
+        return _with_keys_of(table, newest, keys, "left_anti", small).unionByName(newest)
+    version = F.struct(*order)
+    versioned = table.withColumn("_old", version)
+    updates = newest.withColumn("_new", version)
+    too_late = F.col("_old") > F.col("_new")
+    untouched = _with_keys_of(versioned, updates, keys, "left_anti", small, ["_new"], ~too_late)
+    late = _with_keys_of(
+        versioned.select(*keys, "_old"), updates, keys, "left_semi", small, ["_new"], too_late
+    )
+    winners = _with_keys_of(newest, late, keys, "left_anti", small)
+    return untouched.drop("_old").unionByName(winners)
 
 
 def apply_changes(

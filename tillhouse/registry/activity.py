@@ -138,8 +138,7 @@ def activity_totals(spark, sf):
     ["minutes"],
 )
 def running_total(spark, sf):
-    batches = activity.minute_batches(rv.timed_scans(spark, sf))
-    return totals.running_total(batches, "batch_count", ["minute", "timezone"], F.col("minute").cast("date"))
+    return activity.running_batches(rv.timed_scans(spark, sf))
 
 
 @query(
@@ -149,10 +148,7 @@ def running_total(spark, sf):
     ["minutes"],
 )
 def running_total_per_zone(spark, sf):
-    batches = activity.minute_batches(rv.timed_scans(spark, sf))
-    return totals.running_total(
-        batches, "batch_count", ["minute"], F.col("minute").cast("date"), within=["timezone"]
-    )
+    return activity.running_batches(rv.timed_scans(spark, sf), per_zone=True)
 
 
 def weights(spark: SparkSession, sf: str) -> DataFrame:
