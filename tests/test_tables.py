@@ -316,3 +316,11 @@ def test_upsert_keeps_the_partition_type(spark, folder):
     writers.upsert_table(spark, path, spark.createDataFrame([(1, 2, "007"), (3, 2, "010")], schema), ["k"], [F.col("v")], ["p"], True)
     table = spark.read.schema(schema).parquet(path)
     assert rows(table) == [(1, 2, "007"), (2, 1, "010"), (3, 2, "010")]
+
+
+def test_upsert_moves_a_null_key(spark, folder):
+    path = folder("upsert")
+    schema = "k int, v int, p int"
+    writers.write_partitioned(spark.createDataFrame([(None, 1, 0), (2, 1, 0)], schema), path, ["p"])
+    writers.upsert_table(spark, path, spark.createDataFrame([(None, 2, 1)], schema), ["k"], [F.col("v")], ["p"])
+    assert {tuple(r) for r in spark.read.schema(schema).parquet(path).collect()} == {(None, 2, 1), (2, 1, 0)}

@@ -30,7 +30,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     )
 
 
-def _with_keys_of(
+def with_keys_of(
     table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, small: bool,
     extra: Sequence[str] = (), condition: Column | None = None,
 ) -> DataFrame:
@@ -95,16 +95,16 @@ def merge_latest(
     small = is_small(newest) if small is None else small
     newest = newest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
     if incoming_wins:
-        return _with_keys_of(table, newest, keys, "left_anti", small).unionByName(newest)
+        return with_keys_of(table, newest, keys, "left_anti", small).unionByName(newest)
     version = F.struct(*order)
     versioned = table.withColumn("_old", version)
     updates = newest.withColumn("_new", version)
     too_late = F.col("_old") > F.col("_new")
-    untouched = _with_keys_of(versioned, updates, keys, "left_anti", small, ["_new"], ~too_late)
-    late = _with_keys_of(
+    untouched = with_keys_of(versioned, updates, keys, "left_anti", small, ["_new"], ~too_late)
+    late = with_keys_of(
         versioned.select(*keys, "_old"), updates, keys, "left_semi", small, ["_new"], too_late
     )
-    winners = _with_keys_of(newest, late, keys, "left_anti", small)
+    winners = with_keys_of(newest, late, keys, "left_anti", small)
     return untouched.drop("_old").unionByName(winners)
 
 
@@ -123,12 +123,12 @@ def apply_changes(
     last = latest_per_key(changes, keys, order)
     # Counting the feed itself is cheaper and bounds the number of its keys.
     small = is_small(changes) or is_small(last)
-    untouched = _with_keys_of(table, last, keys, "left_anti", small)
+    untouched = with_keys_of(table, last, keys, "left_anti", small)
     written = last.where(F.col(op) != DELETE)
     missing = [c for c in table.columns if c not in changes.columns]
     if missing:
-        old = _with_keys_of(table.select(*keys, *missing), written, keys, "left_semi", small)
-        written = _with_keys_of(written, old, keys, "left", small, missing)
+        old = with_keys_of(table.select(*keys, *missing), written, keys, "left_semi", small)
+        written = with_keys_of(written, old, keys, "left", small, missing)
     return untouched.unionByName(written.select(*table.columns))
 
 

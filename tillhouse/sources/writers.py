@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.operators.versions import latest_per_key, merge_latest
+from tillhouse.operators.dimensions import is_small
+from tillhouse.operators.versions import latest_per_key, merge_latest, with_keys_of
 from tillhouse.session import staged
 
 # A touched partition list longer than this rewrites the table without pruning.
@@ -115,10 +116,11 @@ def upsert_table(
     """
     newest = staged(latest_per_key(updates, keys, order), "upsert")
     table = _read_like(spark, path, source, newest, partition_by)
+    small = is_small(newest)
     touched = newest.select(*partition_by)
     if not partition_fixed_by_key:
-        older = table.join(newest.select(*keys), list(keys), "left_semi").select(*partition_by)
-        touched = touched.unionByName(older)
+        older = with_keys_of(table, newest, keys, "left_semi", small)
+        touched = touched.unionByName(older.select(*partition_by))
     # Partition values are calendar dates, a short list; the limit guards that.
     values = touched.distinct().limit(TOUCHED_LIMIT + 1).collect()
     if not values:
@@ -132,7 +134,7 @@ def upsert_table(
             current = current.where((inside | F.col(name).isNull()) if absent else inside)
     # With several partition columns the per-column test keeps a few partitions
     # more than needed; they are rewritten with their own rows.
-    merged = merge_latest(current.select(*newest.columns), newest, keys, order, incoming_wins)
+    merged = merge_latest(current.select(*newest.columns), newest, keys, order, incoming_wins, small)
     if partition_fixed_by_key:
         overwrite_partitions(merged, path, partition_by, source)
         return
