@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import compare, connect
+from tillhouse.registry import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-CHECKS = oracle_sql()
+QUERIES = {name: q.run for name, q in REGISTRY.items()}
+CHECKS = {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +16,9 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    run = queries()[name]
+    run = QUERIES[name]
     if name in CHECKS:
         assert compare(spark, db, SF, run, CHECKS[name]) is None
     else:
@@ -30,6 +32,6 @@ def test_entry(spark):
 
 
 def test_rows_only_queries_are_few():
-    assert set(queries()) - set(CHECKS) == {
+    assert set(QUERIES) - set(CHECKS) == {
         "random_items", "bernoulli_sample", "generated_scans", "new_upcs", "gbt_predictions",
     }
