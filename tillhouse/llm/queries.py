@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import quality, sql
+from tillhouse.llm import mixing, quality, sql, token_files
 from tillhouse.llm.common import table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    vocabulary = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+    return token_files.token_digest(table(spark, sf_dir, "documents"), path, vocabulary)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.METRICS, "base_failed", "words_left", "kept")
@@ -19,10 +33,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_token_files,
+        op5_mixing,
         op6_quality_rules,
     )
 }
 
 SQL: dict[str, str] = {
+    "op5_mixing": sql.MIXING,
     "op6_quality_rules": sql.QUALITY_RULES,
 }

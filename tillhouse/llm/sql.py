@@ -25,3 +25,23 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 0.3 * n_words AS kept
 FROM m
 """
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         greatest(0.05, length(regexp_replace(coalesce(text, ''), '[^\p{L}]+', '', 'g')) / greatest(length(coalesce(text, '')), 1)) AS weight
+  FROM documents),
+k AS (SELECT *, -ln((CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
+                    / CAST(4503599627370496 AS DOUBLE)) / weight AS key FROM d),
+s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS n, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+sw AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(rank - 1) % 3 + 1] AS w, 2 * n AS cap FROM s),
+lv AS (SELECT *, (1.5::DOUBLE * sum(n) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(w) OVER (ORDER BY cap / w, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sw),
+t AS (SELECT *, coalesce(least(max(CASE WHEN level <= cap / w THEN level END) OVER () * w, cap), cap) AS target FROM lv),
+p AS (SELECT doc_id, size, n, target, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS epochs,
+             sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prefix
+      FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
+       CAST(size * (epochs + CASE WHEN prefix - size / 2 <= target - epochs * n THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM p
+"""
