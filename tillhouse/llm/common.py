@@ -13,8 +13,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 # Bounded Arrow batches: a few very long texts must not make a batch outgrow a Python worker.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
