@@ -46,7 +46,7 @@ def _has_word(line: Column) -> Column:
     return line.rlike(WORD)
 
 
-def _repeated_words(tokens: Column, hashes: Column) -> Column:
+def _repeated_words(hashes: Column) -> Column:
     """Words covered by windows that occur twice or more; ``hashes`` are those of all windows in order."""
 
     def covered(at: Column) -> Column:
@@ -62,51 +62,49 @@ def _repeated_words(tokens: Column, hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(let(order, repeated))
 
 
-def text_metrics(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with the columns of ``METRICS``."""
-    tokens, hashes = fresh(docs, "_words"), fresh(docs, "_windows")
-    body = F.coalesce(F.col(text), F.lit(""))
-    w = F.col(tokens)
-    starts = F.when(F.size(w) >= WINDOW, F.sequence(F.lit(0), F.size(w) - WINDOW)).otherwise(F.array().cast("array<int>"))
-    window = F.transform(starts, lambda i: F.xxhash64(*[w[i + k] for k in range(WINDOW)]))
-    with_word = F.filter(_lines(body), _has_word)
-    return (
-        docs.withColumn(tokens, words(F.col(text)))
-        .withColumn(hashes, window)
-        .withColumns({
-            "n_words": F.size(w).cast("bigint"),
-            "word_chars": F.length(F.array_join(w, "")).cast("bigint"),
-            "n_symbols": F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("bigint"),
-            "n_dup_lines": let(with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-            "n_repeat_words": _repeated_words(w, F.col(hashes)).cast("bigint"),
-        })
-        .drop(tokens, hashes)
-    )
+def text_metrics(text: Column) -> Column:
+    """A struct of ``METRICS``.
 
+    It is one expression that binds words and windows once, so that nothing is computed anew for each element, wherever
+    the planner moves it.
+    """
+    body = F.coalesce(text, F.lit(""))
 
-def boilerplate(
-    docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-) -> DataFrame:
-    """``row_key`` and ``bad_lines`` (hashes) of the rows that hold boilerplate lines of their host.
+    def windows(w: Column) -> Column:
+        starts = F.when(F.size(w) >= WINDOW, F.sequence(F.lit(0), F.size(w) - WINDOW)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*[w[i + k] for k in range(WINDOW)]))
 
-    ``row_key`` is ``row_key(host, text)`` of the row.
-    """
-    body = F.coalesce(F.col(text), F.lit(""))
-    keys = F.array_distinct(F.transform(F.filter(_lines(body), _has_word), lambda x: line_key(F.col("host"), x)))
+    def figures(w: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("bigint").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+            F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
+            let(F.filter(_lines(body), _has_word), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+            let(windows(w), _repeated_words).cast("bigint").alias("n_repeat_words"),
+        )
+
+    return let(words(text), figures)
+
+
+def host_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """A table of all lines that hold a word: host, row_key, pos, line (hash), n (words)."""
+    body = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
-    rows = rows.withColumn("row_key", row_key(F.col("host"), F.col("text")))
-    lines = staged(
-        rows.select("host", "row_key", F.explode(keys.alias("keys")).alias("line")), "lines"
-    )
-    hosts = rows.groupBy("host").agg(F.countDistinct("row_key").alias("host_docs"))
+    lines = rows.select("host", row_key(F.col("host"), F.col("text")).alias("row_key"), F.posexplode(_lines(body)).alias("pos", "line"))
+    return staged(lines.filter(_has_word(F.col("line"))).select(
+        "host", "row_key", "pos", line_key(F.col("host"), F.col("line")).alias("line"), word_count(F.col("line")).alias("n")), "lines")
+
+
+def boilerplate(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """The rows of ``lines`` that are boilerplate of their host; ``hosts`` has host and row_key of all documents."""
+    sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.countDistinct("row_key").alias("host_docs"))
     common = (
         lines.groupBy("line", "host").agg(F.countDistinct("row_key").alias("docs"))
-        .join(hosts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+        .join(sizes, F.col("host").eqNullSafe(F.col("of")))
         .filter((F.col("docs") >= min_docs) & (F.col("docs") > max_share * F.col("host_docs")))
         .select("line")
     )
-    hits = lines.select("row_key", "line").distinct().join(common, "line", "left_semi")
-    return hits.groupBy("row_key").agg(F.collect_set("line").alias("bad_lines"))
+    return lines.join(common, "line", "left_semi")
 
 
 def row_key(host: Column, text: Column) -> Column:
@@ -117,38 +115,74 @@ def line_key(host: Column, line: Column) -> Column:
     return F.xxhash64(host, normal_line(line))
 
 
+def _rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
+    return rows.withColumn("_key", row_key(F.col("host"), F.col("text")))
+
+
+def _bad_lines(docs: DataFrame, text: str, host: str, min_docs: int, max_share: float) -> tuple[DataFrame, DataFrame]:
+    hosts = docs.select(F.col(host).cast("string").alias("host"), row_key(F.col(host).cast("string"), F.col(text)).alias("row_key"))
+    lines = host_lines(docs, text, host)
+    return lines, boilerplate(lines, hosts, min_docs, max_share)
+
+
+def _line_words(lines: DataFrame, name: str) -> DataFrame:
+    """row_key and the words in these lines; rows with equal texts have one row here."""
+    return lines.select("row_key", "pos", "n").distinct().groupBy("row_key").agg(F.sum("n").alias(name))
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+
+
 def quality_rules(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
     min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, the metrics, base_failed, words_left, kept, clean_text.
-
-    ``clean_text`` is the text without boilerplate lines, the text itself where it has none.
-    """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(text).alias("text"))
-    return _judged(rows, boilerplate(docs, text, host, min_docs, max_share), min_left).drop("host", "text", "_key")
-
-
-def _judged(rows: DataFrame, bad: DataFrame, min_left: float) -> DataFrame:
-    rows = rows.withColumn("_key", row_key(F.col("host"), F.col("text")))
-    rows = text_metrics(rows, "text").join(bad, F.col("_key") == F.col("row_key"), "left").drop("row_key")
-    good = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains("bad_lines", line_key(F.col("host"), x)))
-    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+    """One row for each row of ``docs``: doc_id, the metrics, base_failed, words_left, kept."""
+    _, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    removed = _line_words(bad, "removed")
+    rows = _rows(docs, doc_id, text, host).select("doc_id", "_key", text_metrics(F.col("text")).alias("m"))
+    figures = rows.select("doc_id", "_key", "m.*")
     return (
-        rows.withColumn("clean_text", F.when(F.col("bad_lines").isNull(), F.col("text")).otherwise(F.array_join(good, "\n")))
-        .withColumn("words_left", F.when(F.col("bad_lines").isNull(), F.col("n_words")).otherwise(word_count(F.col("clean_text"))))
-        .withColumn("base_failed", base_failed)
+        figures.join(removed, F.col("_key") == F.col("row_key"), "left")
+        .withColumn("words_left", F.col("n_words") - F.coalesce(F.col("removed"), F.lit(0)))
+        .withColumn("base_failed", _failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("words_left") >= min_left * F.col("n_words")))
-        .drop("bad_lines")
+        .drop("_key", "row_key", "removed")
     )
 
 
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns and whole texts."""
-    bad = boilerplate(docs, text, host, **{k: v for k, v in limits.items() if k != "min_left"})
+def keep_good(
+    docs: DataFrame, text: str = "text", host: str = "source",
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
+) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns and whole texts.
+
+    Only the keys of rows that hold boilerplate meet the texts again.
+    """
     whole = fresh(docs, "_row")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole),
         F.col(host).cast("string").alias("host"), F.col(text).alias("text"),
-    )
-    return _judged(rows, bad, limits.get("min_left", MIN_LEFT)).filter("kept").select(f"{whole}.*")
+    ).withColumn("_key", row_key(F.col("host"), F.col("text")))
+    lines, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    removed = _line_words(bad, "removed")
+    totals = _line_words(lines.join(removed, "row_key", "left_semi"), "n_words")
+    depleted = removed.join(totals, "row_key").filter(F.col("n_words") - F.col("removed") < min_left * F.col("n_words"))
+    depleted = staged(depleted.select(F.col("row_key").alias("_key")), "depleted")  # so that the planner knows its size
+    passed = rows.withColumn("m", text_metrics(F.col("text"))).select(whole, "_key", "m.*").filter(~_failed())
+    return passed.join(depleted, "_key", "left_anti").select(f"{whole}.*")
+
+
+def without_boilerplate(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+) -> DataFrame:
+    """doc_id and clean_text: the text without boilerplate lines, the text itself where it has none."""
+    _, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    bad = bad.groupBy("row_key").agg(F.collect_set("line").alias("bad_lines"))
+    good = F.filter(_lines(F.col("text")), lambda x: ~(_has_word(x) & F.array_contains("bad_lines", line_key(F.col("host"), x))))
+    rows = _rows(docs, doc_id, text, host).join(bad, F.col("_key") == F.col("row_key"), "left")
+    clean = F.when(F.col("bad_lines").isNull(), F.col("text")).otherwise(F.array_join(good, "\n"))
+    return rows.select("doc_id", clean.alias("clean_text"))
