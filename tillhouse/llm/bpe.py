@@ -30,15 +30,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.llm.blocks import squeeze, unsqueeze
 from tillhouse.llm.common import shuffle_partitions
 
-CHUNK_BYTES = 40 << 20  # of text
-EMIT_IDS = 2 << 20  # ids of a batch of results
+CHUNK_BYTES = 8 << 20  # of text, about
 # A space that follows white space of any kind (a superset of what the pattern takes for it).
 SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}] "
 
-ROW = "target int, chunk bigint, kind int, bucket int, data binary"
-IDS, CODES = 0, 1  # kinds of rows
+# A row is a block of words for a bucket, or with bucket -1 the positions of a chunk. ``target`` is the bucket of words,
+# as a negative number, or the chunk of positions.
+ROW = "target bigint, chunk bigint, bucket int, data binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,34 +47,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed block, bytes of equal weight side by side."""
-    out = []
-    for a in arrays:
-        planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
-        packed = pa.compress(planes, codec="zstd", asbytes=True)
-        head = np.array([len(packed), len(planes)], "<u8").tobytes() + a.dtype.str.encode().ljust(4)
-        out += [head, packed]
-    return b"".join(out)
-
-
-def _unsqueeze(data: bytes) -> list[np.ndarray]:
-    out, at = [], 0
-    while at < len(data):
-        packed, size = (int(x) for x in np.frombuffer(data, "<u8", 2, at))
-        kind = np.dtype(data[at + 16:at + 20].decode().strip())
-        planes = pa.decompress(data[at + 20:at + 20 + packed], decompressed_size=size, codec="zstd", asbytes=True)
-        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel())
-        at += 20 + packed
-    return out
-
-
 def _gather(values: np.ndarray, lengths: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``values`` (of these lengths) that ``picks`` names, joined, and where each starts, with the end."""
     counts = lengths[picks]
     ends = np.concatenate([[0], np.cumsum(counts)])
-    first = (np.cumsum(lengths) - lengths)[picks]
-    return values[np.arange(ends[-1]) + np.repeat(first - ends[:-1], counts)], ends
+    at = np.repeat((np.cumsum(lengths) - lengths)[picks] - ends[:-1], counts)
+    at += np.arange(ends[-1])
+    return values[at], ends
 
 
 def pre_tokens(texts: pa.Array, findall) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -83,14 +63,14 @@ def pre_tokens(texts: pa.Array, findall) -> tuple[list[str], np.ndarray, np.ndar
     lists = pc.split_pattern(pc.if_else(whole, "", texts), " ")
     offsets = lists.offsets.to_numpy()
     coded = lists.values.dictionary_encode()
-    units = coded.indices.to_numpy().astype(np.int64)
+    units = coded.indices.to_numpy().astype(np.int32)
     pieces: list[list[str]] = [findall(" " + u) for u in coded.dictionary.to_pylist()]
     openings = pc.if_else(whole, texts, lists.values.take(pa.array(offsets[:-1]))).dictionary_encode()
     units[offsets[:-1]] = len(pieces) + openings.indices.to_numpy()
     pieces += map(findall, openings.dictionary.to_pylist())
     place: dict[str, int] = {}
     number = place.setdefault
-    flat = np.fromiter((number(w, len(place)) for p in pieces for w in p), np.int64)
+    flat = np.fromiter((number(w, len(place)) for p in pieces for w in p), np.int32)
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     codes, ends = _gather(flat, lengths, units)
     return list(place), codes, np.diff(ends[offsets])
@@ -104,7 +84,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, chu
     for number, chunk in enumerate(_chunks(batches, chunk_bytes)):
         words, codes, counts = pre_tokens(chunk.column("text").combine_chunks(), findall)
         frequent_first = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(len(words), "<u4")
         rank[frequent_first] = np.arange(len(words))
         data = [words[i].encode() for i in frequent_first]
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in data), np.int64, len(data))
@@ -114,15 +94,15 @@ def _tokenise(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, chu
         ids = chunk.column("doc_id").combine_chunks()
         place = np.empty(len(words), "<u4")
         place[sent] = np.arange(len(words))
-        body = _squeeze(
+        body = squeeze(
             ids.fill_null(0).to_numpy().astype("<i8"), ids.is_valid().to_numpy(zero_copy_only=False).astype("u1"),
-            counts.astype("<u4"), place, rank[codes].astype("<u4"),
+            counts.astype("<u4"), place, rank[codes],
         )
-        yield _row((part + 7919 * number) % buckets, name, CODES, 0, body)
+        yield _row(name, name, -1, body)
         for b in np.flatnonzero(np.diff(bounds)):
             some = [data[i] for i in sent[bounds[b]:bounds[b + 1]]]
             lengths = np.fromiter(map(len, some), "<u4", len(some))
-            yield _row(int(b), name, IDS, int(b), _squeeze(lengths, np.frombuffer(b"".join(some), "u1")))
+            yield _row(-1 - int(b), name, int(b), squeeze(lengths, np.frombuffer(b"".join(some), "u1")))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.Table]:
@@ -139,26 +119,21 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _row(target: int, chunk: int, kind: int, bucket: int, data: bytes) -> pa.RecordBatch:
+def _row(target: int, chunk: int, bucket: int, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([target], pa.int32()), pa.array([chunk], pa.int64()), pa.array([kind], pa.int32()),
-         pa.array([bucket], pa.int32()), pa.array([data], pa.binary())],
-        names=["target", "chunk", "kind", "bucket", "data"])
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
-    for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("chunk", "kind", "bucket", "data")))
+        [pa.array([target], pa.int64()), pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([data], pa.binary())],
+        names=["target", "chunk", "bucket", "data"])
 
 
-def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, buckets: int) -> Iterator[pa.RecordBatch]:
+def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     import tiktoken
 
     coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
-    known: dict[bytes, list[int]] = {}  # the distinct words of this bucket
-    for chunk, kind, bucket, data in _rows(batches):
-        if kind == IDS:
-            lengths, joined = _unsqueeze(data)
+    known: dict[bytes, list[int]] = {}  # the distinct words of this task's buckets
+    for batch in batches:
+        words = batch.filter(pc.greater_equal(batch.column("bucket"), 0))
+        for chunk, bucket, data in zip(words.column("chunk").to_pylist(), words.column("bucket").to_pylist(), words.column("data")):
+            lengths, joined = unsqueeze(data.as_py())
             text, ends = joined.tobytes(), np.cumsum(lengths.astype(np.int64)).tolist()
             lists, at = [], 0
             for end in ends:
@@ -169,48 +144,39 @@ def _encode_words(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: s
                 lists.append(ids)
                 at = end
             counts = np.fromiter(map(len, lists), "<u4", len(lists))
-            data = _squeeze(counts, np.fromiter((i for ids in lists for i in ids), "<u4", int(counts.sum())))
-        number, part = chunk & ((1 << 24) - 1), chunk >> 24
-        yield _row((part + 7919 * number) % buckets, chunk, kind, bucket, data)
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by chunk, ids in the order of buckets before the codes."""
-    lengths: list[np.ndarray] = []
-    ids: list[np.ndarray] = []
-    for _, kind, _, data in _rows(batches):
-        if kind == IDS:
-            a, b = _unsqueeze(data)
-            lengths.append(a)
-            ids.append(b)
-            continue
-        doc_ids, has_id, counts, place, codes = _unsqueeze(data)
-        word_lengths = np.concatenate([np.zeros(0, "<u4"), *lengths]).astype(np.int64)
-        values = np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32)
-        lengths, ids = [], []
-        stops = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
-        first = 0
-        while first < len(doc_ids):  # some texts at once, so that memory follows EMIT_IDS
-            last = max(first + 1, int(np.searchsorted(stops, stops[first] + EMIT_IDS // 2, side="right")) - 1)
-            tokens, ends = _gather(values, word_lengths, place[codes[stops[first]:stops[last]]])
-            offsets = ends[stops[first:last + 1] - stops[first]].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids[first:last], mask=has_id[first:last] == 0),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))], names=["doc_id", "ids"])
-            first = last
+            ids = np.fromiter((i for ids in lists for i in ids), "<u4", int(counts.sum()))
+            yield _row(chunk, chunk, bucket, squeeze(counts, ids))
+
+
+def _assemble(positions: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a chunk; a group of words, which meets no answers, has none."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    own = positions.filter(pc.less(positions.column("bucket"), 0)).column("data")
+    if not len(own):
+        return schema.empty_table()
+    doc_ids, has_id, counts, place, codes = unsqueeze(own[0].as_py())
+    blocks = [unsqueeze(x.as_py()) for x in answers.sort_by("bucket").column("data")]
+    lengths = np.concatenate([np.zeros(0, "<u4"), *(b[0] for b in blocks)])
+    values = np.concatenate([np.zeros(0, "<u4"), *(b[1] for b in blocks)]).view(np.int32)
+    tokens, ends = _gather(values, lengths.astype(np.int64), place[codes])
+    offsets = ends[np.concatenate([[0], np.cumsum(counts.astype(np.int64))])].astype(np.int32)
+    return pa.Table.from_arrays(
+        [pa.array(doc_ids, mask=has_id == 0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))], schema=schema)
 
 
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """doc_id and ids (array of int) for each row of ``docs``."""
+    """doc_id and ids (array of int) for each row of ``docs``.
+
+    One shuffle deals words to their buckets and positions to their chunks; the answers are shuffled to the chunks, which
+    wait in place.
+    """
     buckets = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    asked = rows.mapInArrow(lambda it: _tokenise(it, pattern, buckets, chunk_bytes), ROW)
-    answered = asked.repartitionById(buckets, F.col("target")).mapInArrow(
-        lambda it: _encode_words(it, ranks_path, pattern, buckets), ROW)
-    back = answered.repartitionById(buckets, F.col("target")).sortWithinPartitions("chunk", "kind", "bucket")
-    return back.mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+    asked = rows.mapInArrow(lambda it: _tokenise(it, pattern, buckets, chunk_bytes), ROW).repartition(buckets, "target")
+    answers = asked.mapInArrow(lambda it: _encode_words(it, ranks_path, pattern), ROW)
+    return asked.groupBy("target").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble, "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -233,7 +199,8 @@ def ids_text(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and ``more`` columns."""
     return decoded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
+        "doc_id", *more, F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
