@@ -93,16 +93,17 @@ def _cut_offs(keyed: DataFrame) -> DataFrame:
 def _copies(rows: DataFrame, weights: Sequence[float], budget: float, max_epochs: int) -> DataFrame:
     """``rows`` (source, doc_id, size, key and more) with the source's target and the number of copies the mix takes.
 
-    ``rows`` is read more than once.
+    ``rows`` is read more than once. The plans of the sources are written first: their size is then known, so the planner
+    broadcasts them where they are small, and documents stay where they are.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    plan = targets(sizes, weights, budget, max_epochs).withColumnRenamed("source", "of")
+    plan = staged(targets(sizes, weights, budget, max_epochs).withColumnRenamed("source", "of"), "mix-targets")
 
     def planned(frame: DataFrame, columns: DataFrame) -> DataFrame:
         return frame.join(columns, F.col("source").eqNullSafe(F.col("of"))).withColumn("bucket", _bucket(F.col("key")))
 
     keyed = planned(rows.select("source", "doc_id", "size", "key"), plan)
-    with_cut = plan.join(_cut_offs(keyed), F.col("rank") == F.col("r"), "left")
+    with_cut = staged(plan.join(_cut_offs(keyed), F.col("rank") == F.col("r"), "left"), "mix-cuts")
     chosen = (F.col("bucket") < F.col("cut_bucket")) | (
         (F.col("bucket") == F.col("cut_bucket")) & (F.col("key") <= F.col("cut_key")))
     more = F.when((F.col("size") > 0) & F.coalesce(chosen, F.lit(False)), 1).otherwise(0)
