@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, mixing, quality, simhash, sql, substrings, token_files
+from tillhouse.llm import bpe, mixing, quality, simhash, sql, substrings, token_files, warc
 from tillhouse.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(substrings.deduplicate(table(spark, sf_dir, "documents")))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -56,10 +60,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_mixing,
         op6_quality_rules,
         op8_substrings,
+        op10_warc,
     )
 }
 
 SQL: dict[str, str] = {
     "op5_mixing": sql.MIXING,
     "op6_quality_rules": sql.QUALITY_RULES,
+    "op10_warc": sql.WARC,
 }

@@ -45,3 +45,12 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, t
        CAST(size * (epochs + CASE WHEN prefix - size / 2 <= target - epochs * n THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM p
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+s AS (SELECT payload, max(page_id) AS last FROM p WHERE octet_length(payload) >= 1000 GROUP BY payload HAVING count(*) > 1)
+SELECT page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM p LEFT JOIN s ON p.payload = s.payload
+"""
