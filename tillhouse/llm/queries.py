@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, mixing, quality, simhash, sql, substrings, token_files, warc
+from tillhouse.llm import bpe, html, mixing, quality, simhash, sql, substrings, token_files, warc
 from tillhouse.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.METRICS, "base_failed", "words_left", "kept")
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(substrings.deduplicate(table(spark, sf_dir, "documents")))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_simhash,
         op5_mixing,
         op6_quality_rules,
+        op7_html,
         op8_substrings,
         op10_warc,
     )
