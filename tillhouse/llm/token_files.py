@@ -24,6 +24,7 @@ are ignored.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -40,8 +41,11 @@ from tillhouse.session import new_folder, staged
 
 MAGIC = b"TOKBITS1"
 BLOCK = 4096  # ids; a multiple of 8, so that full blocks end at a whole byte
-TRAILER = struct.Struct("<QQQII8s")
-KNOWN_WORDS = 600_000  # words whose ids a task keeps; beyond that it starts afresh
+TRAILER = "<QQQII8s"
+TRAILER_BYTES = struct.calcsize(TRAILER)
+NONE = np.zeros(0, np.int64)
+WORD_END = "</w>"  # what the last token of a word ends with
+KNOWN_WORDS = 400_000  # words whose ids a task keeps; beyond that it starts afresh
 
 
 def bits_for(vocabulary: int) -> int:
@@ -60,6 +64,11 @@ def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype(np.uint32)
 
 
+def _letters(word: str) -> bool:
+    """All letters, and still so in the tokenizer's normal form."""
+    return word.isalpha() and (word.isascii() or (word.lower().isalpha() and unicodedata.is_normalized("NFC", word)))
+
+
 class WordTable:
     """Ids of texts through a table of the words met so far."""
 
@@ -70,6 +79,9 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(tokenizer_path), end_id
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -77,30 +89,55 @@ class WordTable:
         self.ids: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
 
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self.place.update(zip(some, range(len(self.place), len(self.place) + len(some))))
-            self.lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-            self.ids.append(np.fromiter((i for ids in lists for i in ids), np.uint32, int(self.lengths[-1].sum())))
+        """Words of letters alone end with the one token that ends a word, so many of them are encoded as one text."""
+        plain = [w for w in new if _letters(w)]
+        for at in range(0, len(plain), 20_000):
+            some = plain[at:at + 20_000]
+            ids = np.array(self._encoded([" ".join(some)])[0], np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                self._keep(some, np.diff(ends, prepend=0), ids)
+            else:  # another kind of tokenizer
+                self._keep_each(some)
+        others = [w for w in new if not _letters(w)]
+        for at in range(0, len(others), 5_000):
+            self._keep_each(others[at:at + 5_000])
+
+    def _keep_each(self, words: list[str]) -> None:
+        lists = self._encoded(words)
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self._keep(words, lengths, np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum())))
+
+    def _keep(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.lengths.append(lengths)
+        self.ids.append(ids)
 
     def _places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """For each distinct word the places of its core and of its trailing stops."""
+        """For each distinct word the places of its core and of its trailing stops.
+
+        Stops are cut off where a letter or digit comes before that the tokenizer leaves as it is, as they are a piece
+        of their own there.
+        """
         plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<")))
-        keys = pc.if_else(plain, pc.ascii_lower(distinct), distinct).to_pylist()
-        cores, tails = [], []
-        for word in keys:
-            core = word.rstrip(".,")
-            if len(core) == len(word) or not core or not core[-1].isalnum():
-                core = word
-            cores.append(core)
-            tails.append(word[len(core):])
+        words = pc.if_else(plain, pc.ascii_lower(distinct), distinct)
+        cores = pc.utf8_rtrim(words, characters=".,")
+        apart = pc.and_(pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u00ff]$"), pc.match_substring_regex(words, "[.,]$"))
+        tails = pc.if_else(apart, pc.replace_substring_regex(pc.if_else(apart, words, ""), "^.*[^.,]", ""), "")
+        core, tail = pc.if_else(apart, cores, words).dictionary_encode(), tails.dictionary_encode()
         if len(self.place) > KNOWN_WORDS:
             self._clear()
-        self._learn([w for w in dict.fromkeys(cores + ["", *dict.fromkeys(tails)]) if w not in self.place])
-        get = self.place.__getitem__
-        return np.fromiter(map(get, cores), np.int64, len(cores)), np.fromiter(map(get, tails), np.int64, len(tails))
+        out = []
+        for part in (core, tail):
+            names = part.dictionary.to_pylist()
+            self._learn([w for w in names if w not in self.place])
+            places = np.fromiter(map(self.place.__getitem__, names), np.int32, len(names))
+            out.append(places[part.indices.to_numpy()])
+        return out[0], out[1]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and the place where each text's ids start, with one more for the end."""
@@ -110,12 +147,14 @@ class WordTable:
         core, tail = self._places(coded.dictionary)
         word = coded.indices.to_numpy()
         both = np.stack([core[word], tail[word]], axis=1).ravel()
-        self.lengths, self.ids = [np.concatenate(self.lengths)], [np.concatenate(self.ids)]
+        self.lengths, self.ids = [np.concatenate([NONE, *self.lengths])], [np.concatenate([NONE.astype(np.uint32), *self.ids])]
         length = self.lengths[0]
         first = np.cumsum(length) - length
         counts = length[both]
         ends = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.ids[0][np.arange(ends[-1]) + np.repeat(first[both] - ends[:-1], counts)]
+        at = np.repeat(first[both] - ends[:-1], counts)
+        at += np.arange(ends[-1])
+        ids = self.ids[0][at]
         starts = ends[2 * offsets]
         if self.end_id is None:
             return ids, starts
@@ -172,7 +211,7 @@ class _Writer:
             self._blocks(self.rest)
         for values, kind in ((self.doc_ids, "<i8"), (self.has_id, "u1"), (self.starts, "<u8"), ([*self.blocks, self.at], "<u8")):
             self.out.write(np.array(values, dtype=kind).tobytes())
-        self.out.write(TRAILER.pack(self.at, len(self.doc_ids), len(self.blocks), self.bits, BLOCK, MAGIC))
+        self.out.write(struct.pack(TRAILER, self.at, len(self.doc_ids), len(self.blocks), self.bits, BLOCK, MAGIC))
 
 
 class TokenFile:
@@ -181,10 +220,10 @@ class TokenFile:
     def __init__(self, path: str):
         self.file = open_input(path)
         size = self.file.size()
-        index, docs, blocks, self.bits, self.block, magic = TRAILER.unpack(self._bytes(size - TRAILER.size, TRAILER.size))
+        index, docs, blocks, self.bits, self.block, magic = struct.unpack(TRAILER, self._bytes(size - TRAILER_BYTES, TRAILER_BYTES))
         if magic != MAGIC:
             raise ValueError(f"{path} is not a token file")
-        data = self._bytes(index, size - TRAILER.size - index)
+        data = self._bytes(index, size - TRAILER_BYTES - index)
         self.doc_ids = np.frombuffer(data, "<i8", docs)
         self.has_id = np.frombuffer(data, "u1", docs, 8 * docs).astype(bool)
         self.starts = np.frombuffer(data, "<u8", docs + 1, 9 * docs).astype(np.int64)
