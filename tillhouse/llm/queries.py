@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, html, mixing, quality, simhash, sql, substrings, token_files, warc
+from tillhouse.llm import ann, bpe, html, mixing, quality, simhash, sql, substrings, token_files, warc
 from tillhouse.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(substrings.deduplicate(table(spark, sf_dir, "documents")))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_quality_rules,
         op7_html,
         op8_substrings,
+        op9_nearest,
         op10_warc,
     )
 }
