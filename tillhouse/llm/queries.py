@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ann, bpe, html, mixing, quality, simhash, sql, substrings, token_files, warc
+from tillhouse.llm import ann, bpe, html, lm, mixing, quality, simhash, sql, substrings, token_files, warc
 from tillhouse.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_token_files,
         op2_byte_bpe,
         op3_simhash,
+        op4_lm_scores,
         op5_mixing,
         op6_quality_rules,
         op7_html,
