@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tillhouse.operators.activity import read_messages, zone_state
 from tillhouse.schemas import RETAIL_SCANS
 from tillhouse.sources.writers import overwrite_table
+from tillhouse import jobs
+from tillhouse.sources.paths import table_exists
 from tillhouse.streaming import ingest, monitor, sources
-from tillhouse.streaming.logs import BATCH, compact, read_log, write_log
+from tillhouse.streaming.logs import BATCH, compact, read_log
 
 
 def scan(i, qty, day=1):
@@ -76,8 +78,7 @@ def test_bad_lines_go_to_the_rejects(spark, tmp_path, folder):
     lines = [scan(i, 1)[:-6] if i % 50 == 0 else scan(i, 1) for i in range(100)]
     put(arriving, "a.txt", lines)
     stream = sources.line_files(spark, str(arriving))
-    for query in ingest.split_stream(stream, good, bad, folder("checkpoint")):
-        query.awaitTermination()
+    ingest.split_stream(stream, good, bad, folder("checkpoint")).awaitTermination()
     assert read_log(spark, good, RETAIL_SCANS).count() == 98
     assert {r["problem"] for r in spark.read.parquet(bad).collect()} == {"malformed"}
 
@@ -120,16 +121,41 @@ def test_minute_counts_update(spark, folder):
     assert counts.agg(F.sum("voids")).first()[0] == 80 and schema
 
 
-def test_duplicates_within_the_delay(spark, folder):
+def test_late_scans_count(spark, folder):
+    """Files far apart in time and out of order, one for each batch."""
     arriving, log = folder("in"), folder("log")
-    rows = [("a", 1, "2024-01-01 10:00:00"), ("a", 1, "2024-01-01 10:00:00"), ("a", 0, "2024-01-01 10:00:00"), ("b", 1, "2024-01-01 10:01:00")]
+    for day in (62, 1, 40, 2):
+        one = spark.createDataFrame([("Z", 1)], "timezone string, unit_qty int").withColumn(
+            "scan_ts", F.timestamp_add("DAY", F.lit(day), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")))
+        one.coalesce(1).write.mode("append").parquet(arriving)
+    monitor.log_minute_counts(sources.table_files(spark, arriving, one.schema, files_per_batch=1), log, folder("checkpoint")).awaitTermination()
+    counts = monitor.current_minute_counts(read_log(spark, log, monitor.minute_counts(one).schema))
+    assert [r["scans"] for r in counts.collect()] == [1] * 4
+
+
+def test_folded_batches_are_dropped(spark, tmp_path, folder):
+    log, table, checkpoint, arriving = folder("log"), folder("bronze"), folder("checkpoint"), tmp_path / "in"
+    put(arriving, "a.json", [scan(i, 1, day=1 + i % 3) for i in range(9)])
+    for name, lines in (("b.json", [scan(77, 1, day=9)]), ("c.json", [scan(4, 0, day=2)])):
+        jobs.main(["ingest", "--arriving", str(arriving), "--log", log, "--checkpoint", checkpoint])
+        jobs.main(["compact", "--log", log, "--table", table])
+        assert not table_exists(spark, log)
+        put(arriving, name, lines)
+    jobs.main(["ingest", "--arriving", str(arriving), "--log", log, "--checkpoint", checkpoint])
+    jobs.main(["compact", "--log", log, "--table", table])
+    assert quantities(spark.read.parquet(table)) == {f"s{i}": int(i != 4) for i in range(9)} | {"s77": 1}
+
+
+def test_duplicates_at_any_distance(spark, folder):
+    arriving, log = folder("in"), folder("log")
+    rows = [("a", 1, "2024-01-01 10:00:00"), ("a", 1, "2024-05-01 10:00:00"), ("a", 0, "2024-01-01 10:00:00"), ("b", 1, "2024-01-01 10:01:00")]
     scans = spark.createDataFrame(rows, "scan_id string, unit_qty int, t string").select(
         "scan_id", "unit_qty", F.col("t").cast("timestamp_ntz").alias("scan_ts"))
-    scans.write.parquet(arriving)
-    stream = sources.table_files(spark, arriving, scans.schema)
-    once = ingest.distinct_scans(stream, "scan_ts")
-    write_log(once, log, folder("checkpoint")).awaitTermination()
-    assert sorted((r["scan_id"], r["unit_qty"]) for r in read_log(spark, log, once.schema).collect()) == [("a", 0), ("a", 1), ("b", 1)]
+    scans.repartition(4).write.parquet(arriving)
+    stream = sources.table_files(spark, arriving, scans.schema, files_per_batch=1)
+    ingest.log_distinct_scans(stream, log, folder("checkpoint")).awaitTermination()
+    once = ingest.distinct_scans(read_log(spark, log, scans.schema))
+    assert sorted((r["scan_id"], r["unit_qty"]) for r in once.collect()) == [("a", 0), ("a", 1), ("b", 1)]
 
 
 def test_item_changes(spark, folder):

@@ -20,21 +20,35 @@ from tillhouse.streaming.logs import read_log, write_log
 
 LINES = T.StructType().add("seq", "string").add("value", "string")
 MESSAGES = T.StructType().add("seq", "long").add("value", "string")
-FILES = 6
-FILES_PER_BATCH = 3
+BATCHES = 4  # at least
+LEAST_FILES = 8
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows out of order, in as many files as the input has partitions, and some at least."""
+    return rows.repartition(max(LEAST_FILES, rows.rdd.getNumPartitions()))
+
+
+def _per_batch(spark: SparkSession, path: str) -> int:
+    return max(1, len(spark.read.format("binaryFile").load(path).inputFiles()) // BATCHES)
 
 
 def _write_scans(scans: DataFrame, path: str) -> None:
     """Scans as JSON files, one object per line."""
-    scans.select(scan_json(scans).alias("value")).repartition(FILES).write.mode("append").text(path)
+    _dealt(scans.select(scan_json(scans).alias("value"))).write.mode("append").text(path)
 
 
 def _write_rows(rows: DataFrame, label: str) -> str:
     path = new_folder(rows.sparkSession, label)
-    rows.repartition(FILES).write.parquet(path)
+    _dealt(rows).write.parquet(path)
     return path
 
 
+def _stream(spark: SparkSession, rows: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    path = _write_rows(rows, "arriving")
+    return sources.table_files(spark, path, schema or rows.schema, _per_batch(spark, path))
+
+
 _SCAN = "scan_id text, store_id bigint, scan_datetime text, item_upc text, unit_qty bigint, unit_price double"
 
 
@@ -43,7 +57,7 @@ def stream_ingest(spark, sf):
     """Arriving scans appended to a table partitioned by day."""
     arriving, table, checkpoint = (new_folder(spark, n) for n in ("arriving", "bronze", "checkpoint"))
     _write_scans(rv.timed_scans(spark, sf), arriving)
-    stream = sources.scan_files(spark, arriving, FILES_PER_BATCH)
+    stream = sources.scan_files(spark, arriving, _per_batch(spark, arriving))
     ingest.append_scans(stream, table, checkpoint).awaitTermination()
     return read_table(spark, table)
 
@@ -55,7 +69,7 @@ def stream_upsert_final(spark, sf):
     waves = rv.timed_scans(spark, sf, voided=False), rv.timed_scans(spark, sf).where("unit_qty = 0")
     for wave in waves:
         _write_scans(wave, arriving)
-        stream = sources.scan_files(spark, arriving, FILES_PER_BATCH)
+        stream = sources.scan_files(spark, arriving, _per_batch(spark, arriving))
         ingest.log_scans(stream, log, checkpoint).awaitTermination()
     return ingest.current_scans(read_log(spark, log, RETAIL_SCANS))
 
@@ -67,9 +81,7 @@ def stream_upsert_final(spark, sf):
 def stream_minute_counts(spark, sf):
     scans = rv.timed_scans(spark, sf).select("scan_ts", "timezone", "unit_qty")
     log, checkpoint = new_folder(spark, "minutes"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(spark, _write_rows(scans, "arriving"), scans.schema, FILES_PER_BATCH)
-    # The files are not in time order, so the delay covers the whole month.
-    monitor.log_minute_counts(stream, log, checkpoint, delay="31 days").awaitTermination()
+    monitor.log_minute_counts(_stream(spark, scans), log, checkpoint).awaitTermination()
     schema = monitor.minute_counts(scans).schema
     return monitor.current_minute_counts(read_log(spark, log, schema))
 
@@ -78,7 +90,7 @@ def stream_minute_counts(spark, sf):
 def stream_zone_state(spark, sf):
     messages = message_lines(spark, sf)
     log, checkpoint = new_folder(spark, "zones"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(spark, _write_rows(messages, "arriving"), MESSAGES, FILES_PER_BATCH)
+    stream = _stream(spark, messages, MESSAGES)
     order = F.col("seq")
     monitor.log_zone_state(stream, order, log, checkpoint).awaitTermination()
     schema = monitor.zone_state(read_messages(messages), order).schema
@@ -94,9 +106,7 @@ def stream_zone_state(spark, sf):
 def stream_rejects(spark, sf):
     """Messages that cannot be read or are of unknown type, kept aside."""
     log, checkpoint = new_folder(spark, "rejects"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(
-        spark, _write_rows(message_lines(spark, sf), "arriving"), MESSAGES, FILES_PER_BATCH
-    )
+    stream = _stream(spark, message_lines(spark, sf), MESSAGES)
     rejected = read_messages(stream).where(F.col("problem").isNotNull()).select("seq", "problem")
     write_log(rejected, log, checkpoint).awaitTermination()
     return read_log(spark, log, rejected.schema)
@@ -113,9 +123,7 @@ def stream_rejects(spark, sf):
 def stream_contract_split(spark, sf):
     """One stream of lines into good scans and rejected lines."""
     good, bad, checkpoint = (new_folder(spark, n) for n in ("good", "bad", "checkpoint"))
-    stream = sources.table_files(spark, _write_rows(scan_lines(spark, sf), "arriving"), LINES, FILES_PER_BATCH)
-    for running in ingest.split_stream(stream, good, bad, checkpoint):
-        running.awaitTermination()
+    ingest.split_stream(_stream(spark, scan_lines(spark, sf), LINES), good, bad, checkpoint).awaitTermination()
     scans = read_log(spark, good, RETAIL_SCANS)
     rejected = read_log(spark, bad, T.StructType([*LINES.fields]).add("problem", "string"))
     nothing = F.lit(None)
@@ -132,8 +140,7 @@ def stream_item_changes(spark, sf):
     """The item change feed as a stream, applied to the item master on reading."""
     changes = rv.item_changes(spark, sf)
     log, checkpoint = new_folder(spark, "item_log"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(spark, _write_rows(changes, "arriving"), changes.schema, FILES_PER_BATCH)
-    ingest.log_item_changes(stream, log, checkpoint).awaitTermination()
+    ingest.log_item_changes(_stream(spark, changes), log, checkpoint).awaitTermination()
     return ingest.current_items(rv.items(spark, sf), read_log(spark, log, changes.schema))
 
 
@@ -145,9 +152,6 @@ def stream_distinct_scans(spark, sf):
     """Every scan arrives twice and is counted once."""
     scans = rv.timed_scans(spark, sf).select("scan_id", "unit_qty", "scan_ts", "timezone")
     log, checkpoint = new_folder(spark, "distinct"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(
-        spark, _write_rows(scans.unionByName(scans), "arriving"), scans.schema, FILES_PER_BATCH
-    )
-    once = ingest.distinct_scans(stream, "scan_ts", "31 days")
-    write_log(once, log, checkpoint).awaitTermination()
-    return read_log(spark, log, once.schema).groupBy("timezone").agg(F.count(F.lit(1)).alias("scans"))
+    ingest.log_distinct_scans(_stream(spark, scans.unionByName(scans)), log, checkpoint).awaitTermination()
+    once = ingest.distinct_scans(read_log(spark, log, scans.schema))
+    return once.groupBy("timezone").agg(F.count(F.lit(1)).alias("scans"))

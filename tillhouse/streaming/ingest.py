@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillhouse.functions.records import check_contract
-from tillhouse.functions.temporal import event_time, parse_scan_time, scan_date
+from tillhouse.functions.temporal import parse_scan_time, scan_date
 from tillhouse.operators.versions import apply_changes, latest_per_key
-from tillhouse.streaming.logs import BATCH, write_log
+from tillhouse.streaming.logs import BATCH, start, store_batch, write_log
 
 SCAN_KEY = ["scan_id"]
+VERSION_KEY = ["scan_id", "unit_qty"]
 
 
 def version_order(arrival: Sequence[str] = ()) -> list[Column]:
@@ -48,23 +49,36 @@ def current_scans(log: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:
     return latest_per_key(log, SCAN_KEY, version_order(arrival)).drop(BATCH)
 
 
-def split_stream(
-    lines: DataFrame, good_path: str, rejected_path: str, checkpoint: str
-) -> list[StreamingQuery]:
-    """Good scans to one log and rejected lines with their problem to another."""
-    checked = check_contract(lines)
-    good = checked.where(F.col("problem").isNull()).drop("problem", *lines.columns)
-    rejected = checked.where(F.col("problem").isNotNull()).select(*lines.columns, "problem")
-    return [
-        write_log(good, good_path, f"{checkpoint}/good"),
-        write_log(rejected, rejected_path, f"{checkpoint}/rejected"),
-    ]
+def split_stream(lines: DataFrame, good_path: str, rejected_path: str, checkpoint: str) -> StreamingQuery:
+    """Good scans to one log and rejected lines with their problem to another.
 
+    A micro-batch is read and parsed once. Good scans keep the columns of their line other than its text, such as
+    partition and offset, by which ``current_scans`` can order versions.
+    """
 
-def distinct_scans(scans: DataFrame, time: str, delay: str = "10 minutes") -> DataFrame:
-    """Each scan and quantity once, although messages are repeated within the delay."""
-    once = event_time(scans, time).withWatermark(time, delay)
-    return once.dropDuplicatesWithinWatermark(["scan_id", "unit_qty"])
+    def store(batch: DataFrame, number: int) -> None:
+        checked = check_contract(batch).persist()
+        try:
+            good = checked.where(F.col("problem").isNull()).drop("problem", "value")
+            store_batch(good, number, good_path)
+            rejected = checked.where(F.col("problem").isNotNull()).select(*lines.columns, "problem")
+            store_batch(rejected, number, rejected_path)
+        finally:
+            checked.unpersist()
+
+    return start(lines, store, checkpoint)
+
+
+def log_distinct_scans(scans: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Log each scan and quantity once for a micro-batch; see ``distinct_scans``."""
+    return write_log(
+        scans, path, checkpoint, available_now=available_now, reduced=lambda batch: batch.dropDuplicates(VERSION_KEY)
+    )
+
+
+def distinct_scans(log: DataFrame) -> DataFrame:
+    """Each scan and quantity once, however late a message is repeated: the first one logged."""
+    return latest_per_key(log, VERSION_KEY, [-F.col(BATCH)]).drop(BATCH)
 
 
 def log_item_changes(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

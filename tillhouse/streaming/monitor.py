@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillhouse.functions.temporal import event_time
 from tillhouse.operators.activity import read_messages, zone_state
 from tillhouse.operators.versions import latest_per_key
 from tillhouse.streaming.logs import BATCH, write_log
@@ -15,33 +14,29 @@ MINUTE_KEY = ["minute", "timezone"]
 ZONE_KEY = ["timezone"]
 
 
-def minute_counts(scans: DataFrame, time: str = "scan_ts", delay: str = "10 minutes") -> DataFrame:
-    """Scans, voids and units per minute and time zone.
-
-    Watermarks need a zoned timestamp, so the wall clock is read as UTC (the
-    session zone of all jobs) and given back without a zone.
-    """
-    return (
-        event_time(scans, time).withWatermark(time, delay)
-        .groupBy(F.window(time, "1 minute").alias("_window"), "timezone")
-        .agg(
-            F.count(F.lit(1)).alias("scans"),
-            F.count(F.when(F.col("unit_qty") == 0, 1)).alias("voids"),
-            F.sum("unit_qty").alias("units"),
-        )
-        .select(F.col("_window.start").cast("timestamp_ntz").alias("minute"), "timezone", "scans", "voids", "units")
+def minute_counts(scans: DataFrame, time: str = "scan_ts") -> DataFrame:
+    """Scans, voids and units per minute and time zone."""
+    return scans.groupBy(F.date_trunc("minute", F.col(time)).cast("timestamp_ntz").alias("minute"), "timezone").agg(
+        F.count(F.lit(1)).alias("scans"),
+        F.count(F.when(F.col("unit_qty") == 0, 1)).alias("voids"),
+        F.sum("unit_qty").alias("units"),
     )
 
 
 def log_minute_counts(scans: DataFrame, path: str, checkpoint: str, time: str = "scan_ts",
-                      delay: str = "10 minutes", available_now: bool = True) -> StreamingQuery:
+                      available_now: bool = True) -> StreamingQuery:
+    """Log the counts of every micro-batch.
+
+    Counts of the batches are added up by the reader, so a scan counts however late it comes: there is no watermark,
+    and no state to keep.
+    """
     return write_log(
-        minute_counts(scans, time, delay), path, checkpoint, "update", available_now=available_now
+        scans, path, checkpoint, available_now=available_now, reduced=lambda batch: minute_counts(batch, time)
     )
 
 
 def current_minute_counts(log: DataFrame) -> DataFrame:
-    return latest_per_key(log, MINUTE_KEY, [F.col(BATCH)]).drop(BATCH)
+    return log.groupBy(*MINUTE_KEY).agg(*[F.sum(c).alias(c) for c in ("scans", "voids", "units")])
 
 
 def log_zone_state(lines: DataFrame, order: Column, path: str, checkpoint: str,
