@@ -16,6 +16,17 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def shuffled(spark):
+    """No join is broadcast, not even when adaptive execution finds a side small."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
 @pytest.fixture
 def folder(spark):
     """A factory of fresh paths."""

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tillhouse.operators import activity, dimensions, items, quality, sampling, totals, versions
+from tillhouse.operators import activity, items, quality, sampling, totals, versions
 
 CHECK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -61,13 +61,15 @@ def test_changes(spark):
          (6, "I", 60, 1), (6, "D", None, 2), (7, "D", None, 1)], "id int, op string, price int, seq int")
     changed = versions.apply_changes(table, feed, ["id"], [F.col("seq")])
     assert rows(changed.orderBy("id").fillna({"name": "-"})) == [
-        (1, "a", 12), (3, "c", 33), (4, "d", 40), (5, "-", 50)]
+        (1, "a", 12), (3, "-", 33), (4, "d", 40), (5, "-", 50)]
 
 
-def test_size_check_decides_on_broadcast(spark):
-    fact, dim = spark.range(100).toDF("k"), spark.range(50).toDF("k")
-    assert "ResolvedHint (strategy=broadcast)" in fact.join(dimensions.sized(dim), "k")._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in fact.join(dimensions.sized(dim, rows=49), "k")._jdf.queryExecution().analyzed().toString()
+def test_null_groups_and_codes_stay(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 2, 3), (None, 1, 5), (None, 2, 7)], "z string, i int, v int")
+    total = totals.running_total(df, "v", ["i"], F.col("i"), within=["z"])
+    assert sorted((r["z"] or "", r["i"], r["running_total"]) for r in total.collect()) == [("", 1, 5), ("", 2, 12), ("a", 1, 2), ("a", 2, 5)]
+    coded = spark.createDataFrame([("x",), (None,), ("y",)], "code string")
+    assert sorted(r["n"] for r in items.number_from(coded, F.lit(10), "code", "n").collect()) == [10, 11, 12]
 
 
 def test_orphans_and_duplicates(spark):
@@ -75,7 +77,8 @@ def test_orphans_and_duplicates(spark):
     parent = spark.createDataFrame([("b",), ("b",)], "pk string")
     assert rows(quality.orphan_keys(child, parent, "k", "pk")) == [("a", 2)]
     assert rows(quality.orphan_keys(child, parent, "k", "pk", F.col("day") > 1)) == [("a", 1)]
-    assert rows(quality.duplicate_keys(child.dropna(), ["k"])) == [("a", 2), ("b", 2)]
+    assert rows(quality.duplicate_keys(child, ["k"])) == [("a", 2), ("b", 2)]
+    assert {tuple(r) for r in quality.duplicate_keys(child, ["k"], primary=True).collect()} == {("a", 2), ("b", 2), (None, 1)}
 
 
 ITEM = "category_code int, item_id int, base_price decimal(10,2), upc_code string, case_qty int, _frequency int"
@@ -207,9 +210,7 @@ def test_broken_messages(spark):
     assert found == Counter({"malformed": 2, "unknown type": 2, None: 1})
 
 
-def test_draw_lookup_survives_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(dimensions, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(sampling, "sized", lambda df: dimensions.sized(df, 0))
+def test_draw_lookup_without_broadcast(spark, shuffled):
     master = spark.createDataFrame([(1, 3), (2, 1)], "item_id int, _frequency int")
     picked = sampling.pick_by_weight(spark.range(1, 5).toDF("draw"), totals.cumulative_weights(master)).orderBy("draw")
     assert [r["item_id"] for r in picked.collect()] == [1, 1, 1, 2]

@@ -6,28 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def random_upc(seed: int) -> Column:
-    """Eleven digits that start with 2, the mark of a made-up item."""
-    digits = F.floor(F.rand(seed) * F.lit(1e10)).cast("string")
-    return F.concat(F.lit("2"), F.lpad(digits, 10, "0"))
-
-
-def random_quantity(seed: int) -> Column:
-    """1 in nine of ten cases, else 2, 3 or 4."""
-    more = (F.lit(2) + F.floor(F.rand(seed + 1) * 3)).cast("int")
-    return F.when(F.rand(seed) < 0.9, F.lit(1)).otherwise(more)
-
-
-def jittered(ts: Column, seed: int) -> Column:
-    """A time moved by 0 to 59 whole seconds."""
-    return F.timestamp_add("SECOND", F.floor(F.rand(seed) * 60).cast("int"), ts)
-
-
-def void_time(ts: Column, seed: int) -> Column:
-    """30 to 90 seconds after ``ts``."""
-    return F.timestamp_add("SECOND", (F.lit(30) + F.floor(F.rand(seed) * 61)).cast("int"), ts)
-
-
 def new_scan_id(seed: int | None = None) -> Column:
     return F.uuid() if seed is None else F.uuid(F.lit(seed))
 

@@ -102,7 +102,9 @@ def scans_between(
 
     A predicate on a parsed text cannot reach the files, but the fixed format
     sorts like the time it denotes, so the same bounds are also put on the text
-    column, where min/max statistics can skip row groups.
+    column, where min/max statistics can skip row groups. Where the table is
+    partitioned by ``scan_datestamp``, the day of the scan, only the folders of
+    these days are read.
     """
     typed = with_scan_time(scans, name)
     text = "scan_datetime" in scans.columns and name not in scans.columns
@@ -113,6 +115,9 @@ def scans_between(
         limit = F.lit(midnight).cast("timestamp_ntz")
         as_text = F.lit(f"{bound.isoformat()} 00:00:00")
         typed = typed.where(F.col(name) < limit if below else F.col(name) >= limit)
+        if "scan_datestamp" in scans.columns:
+            day = F.col("scan_datestamp")
+            typed = typed.where(day < F.lit(bound) if below else day >= F.lit(bound))
         if text:
             column = F.col("scan_datetime")
             typed = typed.where(column < as_text if below else column >= as_text)

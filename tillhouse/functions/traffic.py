@@ -41,9 +41,3 @@ def scans_per_minute(local_time: Column) -> Column:
 
 def expected_scans(local_time: Column, zone_name: Column) -> Column:
     return (scans_per_minute(local_time) * zone_load(zone_name)).cast("int")
-
-
-def noisy_scans(local_time: Column, zone_name: Column, draw: Column) -> Column:
-    """Expected scans with a load factor of 0.8 to 1.2 for a draw in [0, 1)."""
-    noisy = (scans_per_minute(local_time) * (F.lit(0.8) + F.lit(0.4) * draw)).cast("int")
-    return (noisy * zone_load(zone_name)).cast("int")

@@ -1,30 +1,16 @@
-"""Joins of a large table with dimensions of checked size."""
+"""Joins of a large table with dimensions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A narrow dimension of this many rows takes a few hundred MB on each executor.
-BROADCAST_ROWS = 1_000_000
 
+def join_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str] | str) -> DataFrame:
+    """Inner equi-join; fact rows without a dimension row vanish.
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count the dimension (never the fact table) and compare with the bound."""
-    return df.count() <= rows
-
-
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it is proven small.
-
-    Otherwise it is returned as it is: Spark shuffles both sides on the key and
-    adaptive execution splits the partitions of hot keys on the fact side.
+    There is no hint: the planner broadcasts a dimension whose size statistics, or measured size at run time, are below
+    the session's threshold. Otherwise both sides are shuffled and adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if is_small(df, rows) else df
-
-
-def join_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """Inner equi-join; fact rows without a dimension row vanish."""
-    return fact.join(sized(dimension), [on] if isinstance(on, str) else list(on), "inner")
+    return fact.join(dimension, [on] if isinstance(on, str) else list(on), "inner")

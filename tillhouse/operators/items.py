@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.draws import key_bucket
 from tillhouse.functions.money import drifted_price
-from tillhouse.operators.dimensions import sized
 from tillhouse.schemas import SYNTHETIC_ITEM_FLOOR
 
 # Fixed values of an item that was just made up.
@@ -26,7 +25,7 @@ def update_prices(items: DataFrame, chosen: DataFrame, draw: Column) -> DataFram
         F.col("base_price")
     )
     return (
-        items.join(sized(flagged), "item_id", "left")
+        items.join(flagged, "item_id", "left")
         .withColumn("base_price", price)
         .select(*items.columns)
     )
@@ -34,7 +33,7 @@ def update_prices(items: DataFrame, chosen: DataFrame, draw: Column) -> DataFram
 
 def remove_rows(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``gone``; duplicates among the rest stay."""
-    return rows.join(sized(gone.select(key)), key, "left_anti").select(*rows.columns)
+    return rows.join(gone.select(key), key, "left_anti").select(*rows.columns)
 
 
 def next_item_id(items: DataFrame, floor: int = SYNTHETIC_ITEM_FLOOR) -> DataFrame:
@@ -68,12 +67,12 @@ def number_from(rows: DataFrame, start: Column, order: str, name: str, width: in
     blocked = rows.withColumn("_block", key_bucket(F.col(order), width))
     sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select("_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    before = sizes.select(F.col("_block").alias("_of"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     inside = W.partitionBy("_block").orderBy(order)
     return (
-        blocked.join(F.broadcast(before), "_block")  # at most ``width`` rows
+        blocked.join(F.broadcast(before), F.col("_block").eqNullSafe(F.col("_of")))  # at most ``width`` + 1 rows
         .withColumn(name, start + F.col("_before") + F.row_number().over(inside) - 1)
-        .drop("_block", "_before")
+        .drop("_block", "_of", "_before")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.draws import pick
-from tillhouse.operators.dimensions import BROADCAST_ROWS
+from tillhouse.session import staged
 
 # Kinds of discount in the order they are drawn from, and the
 # ranges of the drawn value and duration.
@@ -41,19 +41,21 @@ def draft_promotions(
     )
 
 
-def _offers_per_day(promotions: DataFrame) -> DataFrame:
-    """Promotions with one row per day of validity."""
-    days = F.sequence(F.col("start_date"), F.col("end_date"))
-    return promotions.where(F.col("start_date") <= F.col("end_date")).withColumn(
-        "sale_date", F.explode(days)
-    )
+def _offers_per_day(promotions: DataFrame, sales: DataFrame) -> DataFrame:
+    """Promotions with one row per day of validity on which something was sold at all.
+
+    The days of the sales bound an open-ended promotion. The result is written once, as every scope reads it.
+    """
+    lo, hi = sales.agg(F.min("sale_date"), F.max("sale_date")).first()
+    first, last = F.greatest("start_date", F.lit(lo).cast("date")), F.least("end_date", F.lit(hi).cast("date"))
+    valid = promotions.where((F.col("start_date") <= F.col("end_date")) & (first <= last) & F.lit(lo is not None))
+    return staged(valid.withColumn("sale_date", F.explode(F.sequence(first, last))), "offers")
 
 
-def _scopes(offers: DataFrame) -> list[tuple[tuple[str, ...], bool]]:
-    """The sets of scope columns in use, at most eight, and whether their offers fit a broadcast."""
+def _scopes(offers: DataFrame) -> list[tuple[str, ...]]:
+    """The sets of scope columns in use, at most eight."""
     flags = [F.col(c).isNotNull().alias(c) for c in SCOPE]
-    found = offers.groupBy(*flags).count().collect()
-    return sorted((tuple(c for c in SCOPE if row[c]), row["count"] <= BROADCAST_ROWS) for row in found)
+    return sorted(tuple(c for c in SCOPE if row[c]) for row in offers.select(*flags).distinct().collect())
 
 
 def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -69,11 +71,11 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     ``unit_price`` and the scope columns.
     """
     kind, value = F.col("discount_type"), F.col("discount_value")
-    offers = _offers_per_day(promotions)
+    offers = _offers_per_day(promotions, sales)
     price = F.col("unit_price").cast(EXACT)
     candidates = [price]
     joined = sales
-    for number, (keys, small) in enumerate(_scopes(offers)):
+    for number, keys in enumerate(_scopes(offers)):
         in_scope = F.lit(True)
         for name in SCOPE:
             in_scope &= F.col(name).isNotNull() if name in keys else F.col(name).isNull()
@@ -83,7 +85,7 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
             F.max(F.when(kind == "AMT_OFF", value)).alias(amt),
             F.min(F.when(kind == "NEW_PRICE", value)).alias(new),
         )
-        joined = joined.join(F.broadcast(best) if small else best, ["sale_date", *keys], "left")
+        joined = joined.join(best, ["sale_date", *keys], "left")
         kept_share = (F.lit(Decimal("100.00")) - F.col(pct)) * F.lit(Decimal("0.01"))
         candidates += [
             (F.col("unit_price") * kept_share).cast(EXACT),

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.operators.dimensions import sized
-
 
 def orphan_keys(
     child: DataFrame, parent: DataFrame, on: str, parent_key: str | None = None,
@@ -23,11 +23,18 @@ def orphan_keys(
     rows = child if checked is None else child.where(checked)
     used = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("orphan_rows"))
     known = parent.select(F.col(parent_key or on).alias(on))
-    return used.join(sized(known), on, "left_anti")
+    return used.join(known, on, "left_anti")
+
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str], primary: bool = False) -> DataFrame:
+    """Keys that occur more than once.
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once."""
+    A unique key allows NULL any number of times; with ``primary`` every key
+    with a NULL is reported, even one that occurs once.
+    """
+    absent = reduce(or_, [F.col(k).isNull() for k in keys])
+    if primary:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")).where(absent | (F.col("key_rows") > 1))
     return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")).where(F.col("key_rows") > 1)
+        df.where(~absent).groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows")).where(F.col("key_rows") > 1)
     )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.draws import key_bucket
-from tillhouse.operators.dimensions import sized
 
 
 def random_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
@@ -52,7 +51,7 @@ def pick_by_weight(
     )
     placed = draws.withColumn("_cell", F.floor((F.col(draw) - 1) / cell_width))
     hit = (F.col("cum_before") < F.col(draw)) & (F.col(draw) <= F.col("cum_weight"))
-    return placed.join(sized(listed), "_cell").where(hit).drop("_cell")
+    return placed.join(listed, "_cell").where(hit).drop("_cell")
 
 
 def weighted_sample(draw_rows: DataFrame, weighted: DataFrame, seed: int, weight: str = "_frequency") -> DataFrame:

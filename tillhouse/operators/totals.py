@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillhouse.operators.dimensions import sized
+from tillhouse.operators.versions import with_keys_of
 
 # Item ids per block of the cumulative weights.
 ID_BLOCK = 65_536
@@ -27,7 +27,7 @@ def running_total(
     ``block`` must not decrease along the order (a day for times, a range of
     ids for ids). Rows are summed per block, the few block sums get a running
     total, and each block then only adds its own rows: windows never span more
-    than one block of rows.
+    than one block of rows. A NULL group or block is one of its own.
     """
     keys = [*within, "_block"]
     blocked = df.withColumn("_block", block)
@@ -38,7 +38,7 @@ def running_total(
     )
     inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
-        blocked.join(sized(before), keys)
+        with_keys_of(blocked, before, keys, "inner", ["_before"])
         .withColumn(name, F.col("_before") + F.sum(value).over(inside))
         .drop("_block", "_before")
     )

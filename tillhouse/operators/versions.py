@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillhouse.operators.dimensions import is_small
-
-DELETE = "D"
+DELETE, UPDATE = "D", "U"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -31,18 +29,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def with_keys_of(
-    table: DataFrame, other: DataFrame, keys: Sequence[str], how: str, small: bool,
+    table: DataFrame, other: DataFrame, keys: Sequence[str], how: str,
     extra: Sequence[str] = (), condition: Column | None = None,
 ) -> DataFrame:
-    """Join on the keys, where NULL equals NULL as it does within a window.
-
-    ``small`` says that a count has proven ``other`` to fit a broadcast.
-    """
+    """Join on the keys, where NULL equals NULL as it does within a window."""
     marked = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *extra)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     on = same if condition is None else same & condition
-    joined = table.join(F.broadcast(marked) if small else marked, on, how)
-    return joined.drop(*[f"_key_{k}" for k in keys])
+    return table.join(marked, on, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def _latest_of_both(
@@ -70,8 +64,7 @@ def read_snapshot(
     appends may repeat keys and goes through the comparison with the log.
     """
     if unique_base:
-        newest = latest_per_key(log, keys, order)
-        return merge_latest(base, newest, keys, order, small=is_small(log) or is_small(newest))
+        return merge_latest(base, latest_per_key(log, keys, order), keys, order)
     return _latest_of_both(base, log, keys, order)
 
 
@@ -81,7 +74,6 @@ def merge_latest(
     keys: Sequence[str],
     order: Sequence[Column],
     incoming_wins: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Upsert ``newest`` (one row per key) into ``table`` (one row per key).
 
@@ -89,22 +81,20 @@ def merge_latest(
     update replaces, and once more with only its key and order columns, to find
     the updates that come too late. While the updates fit in a broadcast no
     table row is shuffled. An update wins a tie; ``incoming_wins`` lets it win
-    always and saves the second read. ``small`` passes on a size check of the
-    updates that was made before.
+    always and saves the second read.
     """
-    small = is_small(newest) if small is None else small
     newest = newest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
     if incoming_wins:
-        return with_keys_of(table, newest, keys, "left_anti", small).unionByName(newest)
+        return with_keys_of(table, newest, keys, "left_anti").unionByName(newest)
     version = F.struct(*order)
     versioned = table.withColumn("_old", version)
     updates = newest.withColumn("_new", version)
     too_late = F.col("_old") > F.col("_new")
-    untouched = with_keys_of(versioned, updates, keys, "left_anti", small, ["_new"], ~too_late)
+    untouched = with_keys_of(versioned, updates, keys, "left_anti", ["_new"], ~too_late)
     late = with_keys_of(
-        versioned.select(*keys, "_old"), updates, keys, "left_semi", small, ["_new"], too_late
+        versioned.select(*keys, "_old"), updates, keys, "left_semi", ["_new"], too_late
     )
-    winners = with_keys_of(newest, late, keys, "left_anti", small)
+    winners = with_keys_of(newest, late, keys, "left_anti")
     return untouched.drop("_old").unionByName(winners)
 
 
@@ -117,21 +107,30 @@ def apply_changes(
 ) -> DataFrame:
     """Apply an insert / update / delete feed; the last change of a key wins.
 
-    Table columns that the feed does not carry keep their old value on an
-    update and are NULL on an insert.
+    Table columns that the feed does not carry keep their old value where the
+    feed only updates the row, and are NULL for a row that it inserts, also
+    after it has deleted one with the same key.
     """
+    missing = [c for c in table.columns if c not in changes.columns]
     last = latest_per_key(changes, keys, order)
-    # Counting the feed itself is cheaper and bounds the number of its keys.
-    small = is_small(changes) or is_small(last)
-    untouched = with_keys_of(table, last, keys, "left_anti", small)
+    untouched = with_keys_of(table, last, keys, "left_anti")
     written = last.where(F.col(op) != DELETE)
-    missing = [c for c in table.columns if c not in changes.columns]
     if missing:
-        old = with_keys_of(table.select(*keys, *missing), written, keys, "left_semi", small)
-        written = with_keys_of(written, old, keys, "left", small, missing)
+        replaced = changes.where(~F.col(op).eqNullSafe(UPDATE)).select(*keys).distinct()
+        old = with_keys_of(table.select(*keys, *missing), replaced, keys, "left_anti")
+        written = with_keys_of(written, old, keys, "left", missing)
     return untouched.unionByName(written.select(*table.columns))
 
 
+def current_scans(scans: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:
+    """The latest version of every scan of a table that stores all of them.
+
+    Arrival decides where its columns are given; a void repeats the time of its
+    sale with quantity 0, so without them the lower quantity is the later one.
+    """
+    return latest_per_key(scans, ["scan_id"], [*[F.col(c) for c in arrival], -F.col("unit_qty")])
+
+
 def publish_views(
     name: str, base: DataFrame, log: DataFrame, keys: Sequence[str], order: Sequence[Column],
     unique_base: bool = False,

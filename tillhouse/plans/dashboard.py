@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.money import cents, gross_cents, net_sale, total
 from tillhouse.functions.temporal import month_start, scan_date, scans_between, with_scan_time
-from tillhouse.operators.dimensions import is_small
+from tillhouse.operators.dimensions import join_dimension
 
 WINDOW_DAYS = 7
 
@@ -61,14 +61,9 @@ def _star(scans: DataFrame, stores: DataFrame, items: DataFrame, categories: Dat
     places = stores.select("store_id", "state", F.col("timezone").alias("region"))
     master = items.select(F.col("upc_code").alias("item_upc"), "category_code")
     names = categories.select("category_code", "category_name")
-    small = [is_small(d) for d in (places, master, names)]
-    if not all(small):
-        monthly = monthly.groupBy("year_month", "store_id", "item_upc").agg(
-            F.sum("net_units").alias("net_units"), F.sum("_cents").alias("_cents")
-        )
     joined = monthly
-    for dimension, key, fits in zip((places, master, names), ("store_id", "item_upc", "category_code"), small):
-        joined = joined.join(F.broadcast(dimension) if fits else dimension, key)
+    for dimension, key in ((places, "store_id"), (master, "item_upc"), (names, "category_code")):
+        joined = join_dimension(joined, dimension, key)
     return joined
 
 

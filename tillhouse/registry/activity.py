@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.functions.draws import new_scan_id, random_quantity, random_upc, jittered
 from tillhouse.functions.temporal import clock_text, format_time, utc_to_local
-from tillhouse.functions.traffic import expected_scans, load_multiplier, noisy_scans
+from tillhouse.functions.traffic import expected_scans, load_multiplier
 from tillhouse.operators import activity, sampling, totals
 from tillhouse.registry.core import query
 from tillhouse.sources import retail_views as rv
@@ -223,26 +222,3 @@ def bernoulli_sample(spark, sf):
     return sampling.coin_sample(rv.table(spark, sf, "part"), 0.3, seed=7).select(
         rv.category_code().alias("category_code"), F.col("p_name").alias("category_name")
     )
-
-
-@query("scan_id text, store_id bigint, scan_ts text, item_upc text, unit_qty bigint, unit_price double")
-def generated_scans(spark, sf):
-    """One new scan per event: weighted item, random quantity, jittered local time, new id."""
-    events = rv.timed_scans(spark, sf).select("store_id", "scan_ts", "timezone")
-    chosen = sampling.weighted_sample(events, weights(spark, sf), seed=5)
-    return chosen.select(
-        new_scan_id(21).alias("scan_id"), "store_id",
-        jittered(utc_to_local(F.col("scan_ts"), F.col("timezone")), 22).alias("scan_ts"),
-        F.col("upc_code").alias("item_upc"), random_quantity(23).alias("unit_qty"),
-        F.col("base_price").alias("unit_price"),
-    )
-
-
-@query("upc_code text, category_code bigint, target bigint")
-def new_upcs(spark, sf):
-    """A random code and a noisy noon traffic target per customer."""
-    noon = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
-    return rv.table(spark, sf, "customer").select(
-        random_upc(31).alias("upc_code"), (20010 + 10 * F.col("c_nationkey")).alias("category_code"),
-        noisy_scans(noon, rv.timezone_of(F.col("c_custkey")), F.rand(32)).alias("target"),
-    )

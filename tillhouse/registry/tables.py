@@ -61,7 +61,8 @@ def snapshot_read_unique_base(spark, sf):
 
 @query(
     "category_code bigint, trx bigint, net_sales double",
-    """SELECT category_code, count(*) AS trx, sum(unit_qty * base_price) AS net_sales
+    """SELECT category_code, count(*) AS trx,
+              sum(unit_qty * CASE WHEN item_id % 3 = 0 THEN CAST(base_price * 1.05 AS DECIMAL(10,2)) ELSE base_price END) AS net_sales
        FROM scans JOIN items ON item_upc = upc_code WHERE unit_qty <> 0 GROUP BY ALL""",
     ["scans", "items"],
 )
@@ -72,10 +73,12 @@ def sql_on_views(spark, sf):
     log = rv.scans(spark, sf).where("unit_qty = 0").select(*columns, F.lit(1).alias("version"))
     publish_views("retail_scans", base, log, ["scan_id"], [F.col("version")], unique_base=True)
     items = rv.items(spark, sf).withColumn("version", F.lit(0))
-    publish_views("retail_item_master", items, items.limit(0), ["item_id"], [F.col("version")], unique_base=True)
+    dearer = items.where("item_id % 3 = 0").withColumns(
+        {"base_price": (F.col("base_price") * F.lit(1.05).cast("decimal(3,2)")).cast("decimal(10,2)"), "version": F.lit(1)})
+    publish_views("retail_item_master", items, dearer, ["item_id"], [F.col("version")], unique_base=True)
     return spark.sql("""
         SELECT category_code, count(*) AS trx, sum(unit_qty * base_price) AS net_sales
-        FROM retail_scans_rt JOIN retail_item_master_ro ON item_upc = upc_code
+        FROM retail_scans_rt JOIN retail_item_master_rt ON item_upc = upc_code
         WHERE unit_qty != 0
         GROUP BY category_code""")
 
@@ -221,11 +224,13 @@ def fk_orphans(spark, sf):
 
 @query(
     "version_key text, key_rows bigint",
-    "SELECT version_key, count(*) AS key_rows FROM scans GROUP BY ALL HAVING count(*) > 1",
+    """SELECT version_key, count(*) AS key_rows FROM scans WHERE unit_qty <> 0 GROUP BY ALL HAVING count(*) > 1""",
     ["scans"],
 )
 def unique_violations(spark, sf):
-    return duplicate_keys(rv.scans(spark, sf), ["version_key"])
+    """Voids have no key here, which a unique key allows."""
+    keys = rv.scans(spark, sf).select(F.when(F.col("unit_qty") != 0, F.col("version_key")).alias("version_key"))
+    return duplicate_keys(keys, ["version_key"])
 
 
 @query(

@@ -75,12 +75,14 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL
         SELECT p_partkey + {2 * MADE_UP_FROM}, 'I', CAST(1.00 AS DECIMAL(10,2)), 1 FROM part WHERE p_type = 'LARGE'"""),
     "changed_items": (("items", "changes"), """
-        SELECT coalesce(c.item_id, i.item_id) AS item_id, i.upc_code, i.category_code,
-               CASE WHEN c.item_id IS NULL THEN i.base_price ELSE c.base_price END AS base_price
-        FROM items i FULL JOIN (
-            SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY seq DESC) = 1
-        ) c ON i.item_id = c.item_id
-        WHERE c.op IS NULL OR c.op <> 'D'"""),
+        SELECT item_id, upc_code, category_code, base_price FROM items
+        WHERE item_id NOT IN (SELECT item_id FROM changes)
+        UNION ALL
+        SELECT c.item_id, i.upc_code, i.category_code, c.base_price
+        FROM (SELECT item_id, arg_max(op, seq) AS op, arg_max(base_price, seq) AS base_price, bool_and(op = 'U') AS updated
+              FROM changes GROUP BY item_id) c
+        LEFT JOIN items i ON i.item_id = c.item_id AND c.updated
+        WHERE c.op <> 'D'"""),
     "minutes": (("timed_scans",), """
         SELECT timezone, date_trunc('minute', scan_ts) AS minute, count(*) AS batch_count,
                count(*) FILTER (WHERE unit_qty = 0) AS void_count, sum(unit_qty) AS units
