@@ -3,6 +3,8 @@
     spark-submit -m tillhouse.jobs silver --bronze /lake/bronze --silver /lake/silver [--run-date 2024-01-15 | --full]
     spark-submit -m tillhouse.jobs inventory --scans /lake/bronze/retail_scans --table /lake/silver/inventory_delta
     spark-submit -m tillhouse.jobs dashboard --bronze /lake/bronze
+    spark-submit -m tillhouse.jobs ingest --arriving /lake/arriving --log /lake/scan_log --checkpoint /lake/checkpoints/scans
+    spark-submit -m tillhouse.jobs compact --log /lake/scan_log --table /lake/bronze/retail_scans
 
 Every job takes its date as an argument, so a day can be run again; without
 one, a silver run takes yesterday and the others today, in the report zone.
@@ -13,13 +15,17 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.functions.temporal import today_in_zone
+from tillhouse.operators.versions import current_scans, latest_per_key
 from tillhouse.plans import dashboard, inventory, silver
 from tillhouse.session import configure
+from tillhouse.schemas import RETAIL_SCANS
+from tillhouse.sources.paths import table_exists
 from tillhouse.sources.readers import read_table
+from tillhouse.sources.writers import write_partitioned
+from tillhouse.streaming import ingest, logs, sources
 
 # Table folders below a bronze path.
 BRONZE = {
@@ -40,13 +46,14 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_inventory(spark: SparkSession, args: argparse.Namespace) -> None:
-    scans = read_table(spark, args.scans, args.source)
+    scans = current_scans(read_table(spark, args.scans, args.source))
     deltas = inventory.inventory_delta(scans, args.run_date or today_in_zone(), args.lookback_days)
-    inventory.write_inventory_delta(spark, deltas, args.table, create=not _exists(spark, args.table))
+    inventory.write_inventory_delta(spark, deltas, args.table, create=not table_exists(spark, args.table))
 
 
 def run_dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = bronze_tables(spark, args.bronze, args.source)
+    tables["scans"] = current_scans(tables["scans"])
     today = args.run_date or today_in_zone()
     dashboard.sales_today(tables["scans"], today).show()
     dashboard.average_day(tables["scans"], today).show()
@@ -55,14 +62,22 @@ def run_dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     ).show(truncate=False)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Log what has arrived since the last run."""
+    ingest.log_scans(sources.scan_files(spark, args.arriving), args.log, args.checkpoint).awaitTermination()
+
+
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fold the log into the table of scans, then drop what is folded."""
+    if not table_exists(spark, args.log):
+        return
+    log = logs.read_log(spark, args.log, RETAIL_SCANS)
+    last = logs.last_batch(log)
+    folded = ingest.with_scan_day(log.where(log[logs.BATCH] <= last))
+    if not table_exists(spark, args.table):
+        write_partitioned(latest_per_key(folded, ingest.SCAN_KEY, ingest.version_order()), args.table, ["scan_datestamp"])
+    logs.compact(spark, args.table, folded, ingest.SCAN_KEY, ingest.version_order(), ["scan_datestamp"])
+    logs.drop_batches(spark, args.log, last)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -81,6 +96,8 @@ def parser() -> argparse.ArgumentParser:
     job("silver", run_silver, "bronze", "silver").add_argument("--full", action="store_true")
     job("inventory", run_inventory, "scans", "table").add_argument("--lookback-days", type=int, default=1)
     job("dashboard", run_dashboard, "bronze")
+    job("ingest", run_ingest, "arriving", "log", "checkpoint")
+    job("compact", run_compact, "log", "table")
     return top
 
 

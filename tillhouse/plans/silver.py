@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tillhouse.functions.money import cents, net_sale, total
 from tillhouse.functions.temporal import scan_date, scans_between, with_scan_time
 from tillhouse.operators.dimensions import join_dimension
+from tillhouse.operators.versions import current_scans
 from tillhouse.schemas import SYNTHETIC_ITEM_FLOOR
+from tillhouse.sources.paths import table_exists
 from tillhouse.sources.readers import read_table
 from tillhouse.sources.writers import (
     overwrite_partitions, overwrite_table, upsert_table,
@@ -91,21 +93,28 @@ def build_silver(
 ) -> dict[str, str]:
     """Build the silver tables in dependency order and return their paths.
 
-    Without ``run_date`` everything is built anew. With it, the scans of that
-    day are merged into ``sales_detail``, the day's partition of
-    ``sales_by_day`` is replaced, and the other tables are overwritten.
-    ``bronze`` holds ``scans``, ``stores``, ``item_master``, ``item_categories``.
+    Without ``run_date``, or as long as a table is absent, everything is built
+    anew. With it, the scans of that day are merged into ``sales_detail``, the
+    day's partition of ``sales_by_day`` and the month's of ``sales_by_month``
+    are replaced, and the item dimension is overwritten. ``bronze`` holds
+    ``scans``, ``stores``, ``item_master``, ``item_categories``; of its scans,
+    which may hold all versions, the latest of each counts.
     """
     paths = {
         name: f"{silver_path}/{name}"
         for name in ("items_categories", "sales_detail", "sales_by_day", "sales_by_month")
     }
+    if not all(table_exists(spark, path) for path in paths.values()):
+        run_date = None
     overwrite_table(
         items_categories(bronze["item_master"], bronze["item_categories"], catalog_limit),
         paths["items_categories"],
     )
     dimension = read_table(spark, paths["items_categories"])
-    detail = sales_detail(bronze["scans"], bronze["stores"], dimension, run_date)
+    scans = bronze["scans"]
+    if run_date is not None:
+        scans = scans_between(scans, run_date, run_date + dt.timedelta(days=1))
+    detail = sales_detail(current_scans(scans), bronze["stores"], dimension)
     if run_date is None:
         overwrite_table(detail, paths["sales_detail"], ["scan_datestamp"])
     else:
@@ -118,9 +127,13 @@ def build_silver(
     sales = read_table(spark, paths["sales_detail"])
     if run_date is None:
         overwrite_table(sales_by_day(sales), paths["sales_by_day"], ["scan_date"])
+        overwrite_table(sales_by_month(sales), paths["sales_by_month"], ["year", "month"])
     else:
         # Only whole days are replaced, never part of one.
         whole_day = sales.where(F.col("scan_datestamp") == F.lit(run_date))
         overwrite_partitions(sales_by_day(whole_day), paths["sales_by_day"], ["scan_date"])
-    overwrite_table(sales_by_month(sales), paths["sales_by_month"])
+        first = run_date.replace(day=1)
+        day = F.col("scan_datestamp")
+        month = sales.where((day >= F.lit(first)) & (day < F.add_months(F.lit(first), 1)))
+        overwrite_partitions(sales_by_month(month), paths["sales_by_month"], ["year", "month"])
     return paths

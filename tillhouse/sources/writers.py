@@ -12,12 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.operators.dimensions import is_small
 from tillhouse.operators.versions import latest_per_key, merge_latest, with_keys_of
-from tillhouse.session import staged
-
-# A touched partition list longer than this rewrites the table without pruning.
-TOUCHED_LIMIT = 10_000
+from tillhouse.sources.paths import remove, replace_folder, scratch
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str], source: str):
@@ -44,19 +40,9 @@ def write_partitioned(
     _writer(df, partition_by, source).mode("errorifexists").save(path)
 
 
-def overwrite_table(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = (),
-    source: str = "parquet",
-    replaces_input: bool = False,
-) -> None:
-    """Replace a whole table. ``replaces_input`` stages a result read from ``path``."""
-    if replaces_input:
-        df = staged(df, "overwrite")
-    _writer(df, partition_by, source).mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).save(path)
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), source: str = "parquet") -> None:
+    """Replace a whole table, which may be among what ``df`` reads: the new one is complete before the old one goes."""
+    replace_folder(df.sparkSession, path, lambda new: _writer(df, partition_by, source).save(new))
 
 
 def overwrite_partitions(
@@ -99,7 +85,7 @@ def upsert_table(
     updates: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    partition_by: Sequence[str],
+    partition_by: Sequence[str] = (),
     partition_fixed_by_key: bool = False,
     incoming_wins: bool = False,
     source: str = "parquet",
@@ -108,51 +94,40 @@ def upsert_table(
 
     With ``incoming_wins`` the order only chooses among the updates themselves.
 
-    ``partition_fixed_by_key`` states that a key never changes its partition
-    (the partition columns belong to the key, or later versions repeat them).
-    Then only the partitions of the updates are read. Otherwise the key and
-    partition columns of the whole table are scanned for older versions
-    elsewhere, and their partitions are rewritten too.
+    Only the partitions that the updates touch are read and rewritten; the join
+    with them prunes the scan at run time. ``partition_fixed_by_key`` states
+    that a key never changes its partition (the partition columns belong to the
+    key, or later versions repeat them). Otherwise the key and partition columns
+    of the whole table are scanned for older versions elsewhere, whose
+    partitions are rewritten too, or removed where no row is left. A table
+    without partitions is merged and replaced as a whole.
     """
-    newest = staged(latest_per_key(updates, keys, order), "upsert")
-    table = _read_like(spark, path, source, newest, partition_by)
-    small = is_small(newest)
-    touched = newest.select(*partition_by)
-    if not partition_fixed_by_key:
-        older = with_keys_of(table, newest, keys, "left_semi", small)
-        touched = touched.unionByName(older.select(*partition_by))
-    # Partition values are calendar dates, a short list; the limit guards that.
-    values = touched.distinct().limit(TOUCHED_LIMIT + 1).collect()
-    if not values:
-        return
-    current = table
-    if len(values) <= TOUCHED_LIMIT:
-        for name in partition_by:
-            found = list({row[name] for row in values if row[name] is not None})
-            absent = any(row[name] is None for row in values)
-            inside = F.col(name).isin(found) if found else F.lit(False)
-            current = current.where((inside | F.col(name).isNull()) if absent else inside)
-    # With several partition columns the per-column test keeps a few partitions
-    # more than needed; they are rewritten with their own rows.
-    merged = merge_latest(current.select(*newest.columns), newest, keys, order, incoming_wins, small)
-    if partition_fixed_by_key:
-        overwrite_partitions(merged, path, partition_by, source)
-        return
-    merged = staged(merged, "upsert")
-    emptied = (
-        current.select(*partition_by).distinct()
-        .join(merged.select(*partition_by).distinct(), list(partition_by), "left_anti")
-        .limit(1).collect()
-    )
-    if emptied:
-        # Overwriting by partition cannot clear a partition that has no rows
-        # left, so the table is replaced as a whole.
-        rest = table.join(
-            current.select(*partition_by).distinct(), list(partition_by), "left_anti"
-        )
-        overwrite_table(
-            rest.select(*merged.columns).unionByName(merged), path, partition_by, source,
-            replaces_input=True,
-        )
-    else:
+    with scratch(spark, "upsert") as folder:
+
+        def written(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{folder}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+        newest = written(latest_per_key(updates, keys, order), "newest")
+        table = _read_like(spark, path, source, newest, partition_by)
+        if not partition_by:
+            overwrite_table(merge_latest(table.select(*newest.columns), newest, keys, order, incoming_wins), path, (), source)
+            return
+        touched = newest.select(*partition_by)
+        if not partition_fixed_by_key:
+            older = with_keys_of(table, newest, keys, "left_semi")
+            touched = touched.unionByName(older.select(*partition_by))
+        touched = written(touched.distinct(), "touched")
+        current = with_keys_of(table, touched, partition_by, "left_semi")
+        merged = written(merge_latest(current.select(*newest.columns), newest, keys, order, incoming_wins), "merged")
+        emptied = [] if partition_fixed_by_key else _folders_without(current, merged, partition_by)
         overwrite_partitions(merged, path, partition_by, source)
+        for lost in emptied:
+            remove(spark, lost)
+
+
+def _folders_without(current: DataFrame, merged: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    """The folders of the partitions of ``current`` that have no row in ``merged``."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    there = current.select(*partition_by, folder.alias("_folder")).distinct()
+    return [r["_folder"] for r in with_keys_of(there, merged.select(*partition_by).distinct(), partition_by, "left_anti").collect()]
