@@ -87,16 +87,21 @@ def eval_metrics(spark, sf):
     return result.select(F.round("logloss", 6).alias("logloss"), F.round("error", 6).alias("error"))
 
 
-@query("doc_id bigint, score double, predicted_label bigint")
-def gbt_predictions(spark, sf):
-    """Quality of the labelled documents from their size: train on 70 %, score the rest."""
+def quality_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents with figures of their size."""
     documents = rv.table(spark, sf, "documents").select(
         "doc_id", F.col("n_chars").cast("string").alias("n_chars"),
         F.size(F.split("text", r"\s+")).cast("string").alias("n_words"),
         F.size(F.array_distinct(F.split("text", r"\s+"))).cast("string").alias("n_distinct"),
     )
     labels = rv.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("target"))
-    rows = training.numeric_columns(labels.join(documents, "doc_id"), keep=["doc_id"])
+    return training.numeric_columns(labels.join(documents, "doc_id"), keep=["doc_id"])
+
+
+@query("doc_id bigint, score double, predicted_label bigint")
+def gbt_predictions(spark, sf):
+    """Quality of the labelled documents from their size: train on 70 %, score the rest."""
+    rows = quality_rows(spark, sf)
     in_train = key_bucket(F.col("doc_id")) < 70
     model = training.fit_model(rows.where(in_train).drop("doc_id"), scale=["n_chars", "n_words"])
     scored = training.score(model, rows.where(~in_train).drop("target"))
