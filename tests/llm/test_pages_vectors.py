@@ -35,7 +35,8 @@ def test_unmarked_page_by_words():
 
 @pytest.mark.parametrize("page, text", [
     ("", ""), ("<nav>menu</nav>", ""), ("plain a < b text", "plain a < b text"), ("<p>x<!-- open <p>y", "x"), ("<script>var a", ""),
-    ("<form><main><p>in a form</main></form>", "in a form"), ("<p title='a>b'>q</p>", "q"), ("<p>x</b></div>y", "xy"),
+    ("<form><main><p>in a form</main></form>", "in a form"), ("<div id='mainContent'><div class='siteNav'>x</div>text</div>", "text"),
+    ("<div class='main-header'>no</div><div class='post'>yes<div class=post-footer>no</div></div>", "yes"), ("<p title='a>b'>q</p>", "q"), ("<p>x</b></div>y", "xy"),
 ])
 def test_small_and_broken_pages(page, text):
     assert html.main_text(page) == text.replace("xy", "x\n\ny")

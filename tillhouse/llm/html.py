@@ -52,17 +52,19 @@ SKIPPED = frozenset("script style title noscript template svg math iframe object
 BAD_TAGS = frozenset("nav header footer aside form menu dialog".split())
 # Words of a class, id or role.
 BAD_NAMES = frozenset("""
-ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment commentlist comments
-consent contentinfo cookie cookies disclaimer discussion disqus form gdpr hidden login masthead menu modal nav navbar
-navigation newsletter notice notices notification pagination popup promo promoted promotion recommended related replies
-reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets
+ad ads adsbygoogle advert adverts advertisement advertisements advertising alert banner breadcrumb breadcrumbs comment
+commentlist comments complementary consent contentinfo cookie cookies dialog disclaimer discussion disqus footer form gdpr
+hidden login masthead menu modal nav navbar navigation newsletter notice notices notification pagination popup promo
+promoted promotion recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored
+subscribe toolbar widget widgets
 """.split())
-EDGE_NAMES = frozenset("header footer top bottom topbar".split())  # bad outside of the article
+EDGE_NAMES = frozenset("header top bottom topbar".split())  # bad outside of the article
 GOOD_NAMES = frozenset("article content entry main post story".split())
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of my-name, my_name and myName
 UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -96,8 +98,8 @@ class _Blocks:
         names: set[str] = set()
         if attributes:
             for m in NAMES.finditer(attributes):
-                names.update(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
-        good = tag in ("article", "main") or (tag in ("div", "section") and bool(names & GOOD_NAMES))
+                names.update(x.lower() for x in NAME_WORDS.findall(m[1] or m[2] or m[3] or ""))
+        good = tag in ("article", "main") or (tag in ("div", "section") and bool(names & GOOD_NAMES) and not names & EDGE_NAMES)
         bad = bool(names & BAD_NAMES) or (bool(attributes) and bool(UNSEEN.search(attributes)))
         if not good:
             bad = bad or bool(names & EDGE_NAMES and not self.article) or (tag in BAD_TAGS and not (tag == "header" and self.article))
