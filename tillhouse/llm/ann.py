@@ -40,6 +40,7 @@ EXPAND = 4  # nodes of a beam expanded in a step
 ENTRIES = 8
 ALPHA = 1.2
 BATCH = 512
+MOST_TASKS = 20_000
 GRAPH = "shard int, nodes array<struct<ids:array<bigint>,vector:array<double>>>, edges binary"
 
 
@@ -177,7 +178,9 @@ def index(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataF
             "shard": table.column("shard").slice(0, 1), "nodes": pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
             "edges": pa.array([edges.astype("<i4").tobytes()])})
 
-    return staged(nodes.groupBy("shard").applyInArrow(build, GRAPH), "ann-graphs")
+    # A shard is few bytes but much work, so shards aren't left to be coalesced into few tasks.
+    dealt = nodes.repartition(min(MOST_TASKS, 4 * shards), "shard")
+    return staged(dealt.groupBy("shard").applyInArrow(build, GRAPH), "ann-graphs")
 
 
 def search(graphs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -187,7 +190,9 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     asked = asked.groupBy("block").agg(F.collect_list(F.struct("vec_id", "vector")).alias("queries"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))).join(asked, ["shard", "block"])
+    copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+    tasks = min(MOST_TASKS, 4 * shards * blocks)
+    pairs = copies.repartition(tasks, "shard", "block").join(asked.repartition(tasks, "shard", "block"), ["shard", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
