@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -146,3 +147,24 @@ def test_scores_of_edge_rows(spark):
     assert got[2].n_tokens == 0 and got[3].n_tokens == 2 and got[3].log_likelihood == got[None].log_likelihood < 0
     none = docs.filter("doc_id = 9")
     assert lm.score(none, lm.train(none)).count() == 0
+
+
+def test_rare_words_are_scored_by_their_own_share(spark):
+    common = " ".join(f"c{k}" for k in range(896))
+    other = next(w for w in (f"r{k}" for k in range(10_000)) if zlib.crc32(w.encode()) % lm.HASHED == zlib.crc32(b"often") % lm.HASHED)
+    rows = [(k, f"{common} {common}\n{common}") for k in range(9)] + [(10, " ".join(["often"] * 20)), (11, other)]
+    model = lm.train(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    asked = spark.createDataFrame([(1, "often"), (2, other), (3, "c5 often"), (4, f"c5 {other} {other}")], "doc_id bigint, text string")
+    got = {r.doc_id: r.log_likelihood for r in lm.score(asked, model).collect()}
+    assert got[1] - got[2] == pytest.approx(np.log(20))
+    ids, around, _ = lm._contexts(pa.array(["often"]), model.vocabulary)
+    assert got[1] == pytest.approx(lm.log_probabilities(model.weights, ids, around)[0] + np.log(20 / 22))
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    docs = spark.range(1200).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 1199), k -> concat(id, 'x', k))) AS text")
+    model = lm.train(docs)
+    assert len(model.vocabulary) == 1200 - lm.HASHED and model.counts.count() == 1_440_000
+    assert model.weights["classes"].shape[1] * lm.MEMBERS >= 1200
+    got = lm.score(docs.limit(1), model).first()
+    assert got.n_tokens == 1200 and got.mean_log_likelihood < np.log(1 / 1000)

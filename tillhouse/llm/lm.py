@@ -1,11 +1,14 @@
 """Masked pseudo-likelihood: a window network predicts every word from the words on both sides of it.
 
 Words are those of the common separators, in lower case (ASCII). The vocabulary are the most frequent words of the whole
-corpus; other words share buckets by hash, so every word is predicted. The network adds up the embeddings of the words
+corpus, about the square root of its distinct words and 896 at least; other words share buckets by hash. Within its
+bucket a word has its share of the bucket's occurrences in the corpus, from a table of the counts of all words, so every
+word is predicted, and a rare one as rare. A word that the corpus lacks counts as one occurrence more. The network adds up the embeddings of the words
 around a gap, each weighted by its place, and after a tanh predicts the class of the missing word and the word within
 its class. It is trained in numpy on all documents: in each round every task runs mini-batches over its own documents
 from the common model, and the models are averaged, weighted by words, in Spark. What is gathered, counts and models,
-grows with the input; what reaches the driver is one vocabulary and one model, whose sizes are parameters.
+grows with the input; what reaches the driver is one vocabulary, the sums of the buckets and one model. Scoring never
+holds the counts: each chunk of texts asks for its distinct rare words by a join, and waits for the answers.
 
 A document's score is the sum of the log-probabilities of its words, each given the others around it.
 
@@ -15,6 +18,7 @@ training; an empty corpus gives the untrained model, and an empty table an empty
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -22,10 +26,13 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CLASSES = 32
+from tillhouse.session import staged
+
+CLASSES = 32  # at least
 MEMBERS = 32  # words of a class
 HASHED = 128  # of the words, buckets for words that aren't frequent
 SIDE = 2  # words on either side
@@ -35,22 +42,33 @@ RATE = 0.1
 BATCH = 4096
 SEED = 11
 
-SIZE = CLASSES * MEMBERS
-SHAPES = {
-    "embedding": (SIZE + 1, WIDTH), "place": (2 * SIDE, WIDTH), "shift": (WIDTH,),
-    "classes": (WIDTH, CLASSES), "class_shift": (CLASSES,), "members": (CLASSES, WIDTH, MEMBERS), "member_shift": (CLASSES, MEMBERS),
-}
-GAP = SIZE  # stands for what lies beyond a document
+SIZE = CLASSES * MEMBERS  # at least; what is beyond it stands for the gap past a document's ends
+CHUNK = (
+    "chunk bigint, doc_id array<bigint>, n_tokens array<bigint>, log_likelihood array<double>, words array<string>, "
+    "doc array<int>, word array<int>, n array<int>")
 
 
 class Model(NamedTuple):
     vocabulary: dict[str, int]
     weights: dict[str, np.ndarray]
+    counts: DataFrame  # word and n of all words
+    rare: list[int]  # occurrences of the words of each bucket
+
+
+def classes_of(vocabulary: dict[str, int]) -> int:
+    return max(CLASSES, math.ceil((len(vocabulary) + HASHED) / MEMBERS))
 
 
-def new_weights() -> dict[str, np.ndarray]:
+def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    return {
+        "embedding": (classes * MEMBERS + 1, WIDTH), "place": (2 * SIDE, WIDTH), "shift": (WIDTH,), "classes": (WIDTH, classes),
+        "class_shift": (classes,), "members": (classes, WIDTH, MEMBERS), "member_shift": (classes, MEMBERS),
+    }
+
+
+def new_weights(classes: int = CLASSES) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    out = {name: (0.1 * rng.normal(size=shape)).astype(np.float32) for name, shape in SHAPES.items()}
+    out = {name: (0.1 * rng.normal(size=shape)).astype(np.float32) for name, shape in shapes(classes).items()}
     out["place"] += 1
     return out
 
@@ -75,20 +93,32 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(full), np.diff(before[offsets])
 
 
-def _contexts(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids, the ids around each of them, and how many words each text has."""
+def _coded(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, their ids, all words as numbers into these, and how many words each text has."""
     words, counts = _words(texts)
     coded = words.dictionary_encode()
-    frequent = SIZE - HASHED
+    frequent = classes_of(vocabulary) * MEMBERS - HASHED
     ids = np.fromiter(
         (vocabulary[w] if w in vocabulary else frequent + zlib.crc32(w.encode()) % HASHED for w in coded.dictionary.to_pylist()),
-        np.uint16, len(coded.dictionary))[coded.indices.to_numpy()]
+        np.int32, len(coded.dictionary))
+    return coded.dictionary, ids, coded.indices.to_numpy(), counts
+
+
+def _around(ids: np.ndarray, counts: np.ndarray, gap: int) -> np.ndarray:
+    """The ids around each of ``ids``."""
     text = np.repeat(np.arange(len(counts)), counts)
-    spread = np.full(len(ids) + SIDE * (len(counts) + 1), GAP, np.uint16)
+    spread = np.full(len(ids) + SIDE * (len(counts) + 1), gap, ids.dtype)
     at = np.arange(len(ids)) + SIDE * (text + 1)
     spread[at] = ids
-    around = np.stack([spread[at + k] for k in range(-SIDE, SIDE + 1) if k])
-    return ids, around, counts
+    return np.stack([spread[at + k] for k in range(-SIDE, SIDE + 1) if k])
+
+
+def _contexts(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word ids, the ids around each of them, and how many words each text has."""
+    _, ids, words, counts = _coded(texts, vocabulary)
+    size = classes_of(vocabulary) * MEMBERS
+    ids = ids.astype(np.uint16 if size < 1 << 16 else np.int32)[words]  # short ones sort faster
+    return ids, _around(ids, counts, size), counts
 
 
 def _soft(logits: np.ndarray) -> np.ndarray:
@@ -104,7 +134,7 @@ def _forward(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
         hidden += (w["embedding"] * place)[near]
     np.tanh(hidden, out=hidden)
     classes = _soft(hidden @ w["classes"] + w["class_shift"])
-    stops = np.searchsorted(ids, np.arange(CLASSES + 1) * MEMBERS)
+    stops = np.searchsorted(ids, np.arange(w["classes"].shape[1] + 1) * MEMBERS)
     members = np.empty((len(ids), MEMBERS), np.float32)
     for c in np.flatnonzero(np.diff(stops)):
         rows = slice(stops[c], stops[c + 1])
@@ -135,7 +165,7 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
     members[rows, ids % MEMBERS] -= 1
     back = classes @ w["classes"].T
     grad = {"classes": hidden.T @ classes, "class_shift": classes.sum(axis=0)}
-    grad |= {name: np.zeros(SHAPES[name], np.float32) for name in ("members", "member_shift", "embedding", "place")}
+    grad |= {name: np.zeros_like(w[name]) for name in ("members", "member_shift", "embedding", "place")}
     for c in np.flatnonzero(np.diff(stops)):
         own = slice(stops[c], stops[c + 1])
         grad["members"][c] = hidden[own].T @ members[own]
@@ -158,7 +188,7 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
 
 def _trained(docs: DataFrame, text: str, model: Model) -> dict[str, np.ndarray]:
     """The average of the models that the tasks reach from ``model``, weighted by words."""
-    vocabulary, start = model
+    vocabulary, start = model.vocabulary, model.weights
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = {name: x.copy() for name, x in start.items()}
@@ -185,32 +215,79 @@ def _trained(docs: DataFrame, text: str, model: Model) -> dict[str, np.ndarray]:
                 "name": list(sums), "n": pa.array([n for n, _ in sums.values()], pa.int64()), "data": [x.tobytes() for _, x in sums.values()]})
 
     schema = "name string, n bigint, data binary"
-    rows = docs.select(text).mapInArrow(train, schema).repartition(len(SHAPES), "name").mapInArrow(add, schema).collect()
-    found = {r.name: (np.frombuffer(r.data, "<f8") / r.n).astype(np.float32).reshape(SHAPES[r.name]) for r in rows}
+    rows = docs.select(text).mapInArrow(train, schema).repartition(len(start), "name").mapInArrow(add, schema).collect()
+    found = {r.name: (np.frombuffer(r.data, "<f8") / r.n).astype(np.float32).reshape(start[r.name].shape) for r in rows}
     return found or start
 
 
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
-    top = word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(SIZE - HASHED).collect()
-    model = Model({r.word: k for k, r in enumerate(top)}, new_weights())
+    counts = staged(word_counts(docs, text), "lm-counts")
+    size = max(SIZE, math.isqrt(counts.count()))
+    top = counts.orderBy(F.col("n").desc(), "word").limit(size - HASHED).collect()
+    vocabulary = {r.word: k for k, r in enumerate(top)}
+    rare = [0] * HASHED
+    for r in counts.groupBy(_bucket().alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        rare[r.bucket] += r.n
+    for r in top:
+        rare[zlib.crc32(r.word.encode()) % HASHED] -= r.n
+    model = Model(vocabulary, new_weights(classes_of(vocabulary)), counts, rare)
     for _ in range(rounds):
         model = model._replace(weights=_trained(docs, text, model))
     return model
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (the sum) and mean_log_likelihood (NULL without words) of every row."""
-    vocabulary, weights = model
+def _bucket() -> Column:
+    return F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(HASHED)).cast("int")
+
+
+def _scored_chunks(rows: DataFrame, vocabulary: dict[str, int], weights: dict[str, np.ndarray]) -> DataFrame:
+    """A row of each chunk: scores by word or bucket, the chunk's distinct rare words and where they occur how often."""
+    size = classes_of(vocabulary) * MEMBERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, around, counts = _contexts(batch.column("text"), vocabulary)
-            before = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, ids, around))])
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            words, ids, coded, counts = _coded(batch.column("text"), vocabulary)
+            own = ids.astype(np.uint16 if size < 1 << 16 else np.int32)[coded]
+            before = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, own, _around(own, counts, size)))])
             ends = np.cumsum(counts)
+            rare = np.flatnonzero(ids >= size - HASHED)
+            place = np.full(len(ids), -1)
+            place[rare] = np.arange(len(rare))
+            text, asked = np.repeat(np.arange(len(counts)), counts), place[coded]
+            pairs, n = np.unique(text[asked >= 0] * max(1, len(rare)) + asked[asked >= 0], return_counts=True)
+            columns = [
+                batch.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(before[ends] - before[ends - counts]),
+                words.take(pa.array(rare)).cast(pa.string()), pa.array((pairs // max(1, len(rare))).astype(np.int32)),
+                pa.array((pairs % max(1, len(rare))).astype(np.int32)), pa.array(n.astype(np.int32))]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(before[ends] - before[ends - counts])],
-                names=["doc_id", "n_tokens", "log_likelihood"])
+                [pa.array([(part << 24) + number], pa.int64()), *lists],
+                names=["chunk", "doc_id", "n_tokens", "log_likelihood", "words", "doc", "word", "n"])
 
+    return staged(rows.mapInArrow(run, CHUNK), "lm-chunks")
+
+
+def _with_shares(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a chunk, with the logarithms of their rare words' shares added."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())])
+    if not len(chunks):
+        return schema.empty_table()
+    doc_id, n_tokens, scores, doc, word, n = (chunks.column(c)[0].values for c in ("doc_id", "n_tokens", "log_likelihood", "doc", "word", "n"))
+    shares = np.zeros(len(answers))
+    shares[answers.column("word").to_numpy()] = answers.column("share").to_numpy()
+    more = np.bincount(doc.to_numpy(), n.to_numpy() * shares[word.to_numpy()], len(doc_id)) if len(doc) else 0
+    return pa.Table.from_arrays([doc_id, n_tokens, pa.array(scores.to_numpy() + more)], schema=schema)
+
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (the sum) and mean_log_likelihood (NULL without words) of every row."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    scored = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, log_likelihood double")
+    chunks = _scored_chunks(rows, model.vocabulary, model.weights)
+    asked = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
+    total = F.element_at(F.array(*[F.lit(float(n + 1)) for n in model.rare]), _bucket() + 1)
+    answers = asked.join(model.counts, "word", "left").select(
+        F.col("chunk").alias("of"), F.col("place").alias("word"), F.log(F.coalesce("n", F.lit(1)) / total).alias("share"))
+    scored = chunks.drop("words").groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(
+        _with_shares, "doc_id bigint, n_tokens bigint, log_likelihood double")
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
