@@ -168,3 +168,17 @@ def test_vocabulary_grows_with_the_corpus(spark):
     assert model.weights["classes"].shape[1] * lm.MEMBERS >= 1200
     got = lm.score(docs.limit(1), model).first()
     assert got.n_tokens == 1200 and got.mean_log_likelihood < np.log(1 / 1000)
+
+
+@pytest.mark.parametrize("lengths, rows", [((), 2000), ((1e3,), 2000), ((1e4, 2e4, 1e7), 2000), ((1e4,), 24_000)])
+def test_recall_with_very_long_vectors(spark, lengths, rows):
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(rows, 16))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    for k, length in enumerate(lengths):
+        vectors[7 * k + 1] *= length
+    table = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    got = _lists(ann.nearest(table, F.col("vec_id") % 100 == 0).collect())
+    exact = _brute(list(enumerate(vectors.tolist())), every=100)
+    assert got.keys() == exact.keys()
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in exact[q]}) for q in exact) / (20 * len(exact)) >= 0.95

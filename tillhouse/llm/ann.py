@@ -7,7 +7,7 @@ bounded size, and every node is indexed.
 A shard's graph grows in batches: a greedy search of the graph so far proposes neighbours for each new node; pruning
 keeps the nearest and drops those that a kept one is nearer to, by a factor ``ALPHA`` (so that some long edges stay);
 kept neighbours get an edge back, pruned likewise. An extra dimension makes all vectors of a shard equally long, which
-turns the largest inner product into the smallest distance.
+turns the largest inner product into the smallest distance. Distances for pruning are taken in double precision.
 
 Queries go to every shard in blocks, where a beam search proposes candidates. These are scored again in double precision
 on the original vectors, and the best of all shards are returned.
@@ -37,7 +37,7 @@ DEGREE = 32
 BUILD_BEAM = 64
 QUERY_BEAM = 128
 EXPAND = 4  # nodes of a beam expanded in a step
-ENTRIES = 8
+ENTRIES = 16  # half of them the longest vectors
 ALPHA = 1.2
 BATCH = 512
 MOST_TASKS = 20_000
@@ -45,9 +45,20 @@ GRAPH = "shard int, nodes array<struct<ids:array<bigint>,vector:array<double>>>,
 
 
 def _level(vectors: np.ndarray) -> np.ndarray:
-    """Vectors with a dimension more that makes them equally long, as 32-bit numbers."""
+    """Vectors with a dimension more, in which they would be equally long from a point beyond the shard's longest.
+
+    That dimension is small for all but long vectors, so a very long one takes no precision from the others' distances.
+    """
     squares = (vectors**2).sum(axis=1)
-    return np.column_stack([vectors, np.sqrt(np.maximum(squares.max() - squares, 0))]).astype(np.float32)
+    longest = squares.max()
+    return np.column_stack([vectors, -squares / (np.sqrt(longest - squares) + np.sqrt(longest))])
+
+
+def _order(points: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Nodes as they are added: the longest first, which have few edges to them, then at random; the first are entries."""
+    order = np.random.default_rng(seed).permutation(len(points))
+    longest = np.argsort(points[order, -1], kind="stable")[:ENTRIES // 2]
+    return np.concatenate([order[longest], np.delete(order, longest)])
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +67,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, quer
     seen = np.zeros((len(queries), len(points)), bool)
     seen[:, entries] = True
     nodes = np.full((len(queries), beam), -1)
-    near = np.full((len(queries), beam), -np.inf, np.float32)
+    near = np.full((len(queries), beam), -np.inf, queries.dtype)
     done = np.ones((len(queries), beam), bool)
     count = min(beam, len(entries))
     nodes[:, :count], near[:, :count], done[:, :count] = entries[:count], queries @ points[entries[:count]].T, False
@@ -96,13 +107,13 @@ def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray) ->
     """For each node at most ``DEGREE`` of its candidates (-1: none), diverse in direction."""
     ok = (candidates >= 0) & (candidates != of[:, None])
     vectors = points[np.maximum(candidates, 0)]
-    norm = float((points[0] ** 2).sum())
-    distance = np.maximum(2 * norm - 2 * np.matmul(vectors, points[of][:, :, None])[:, :, 0], 0)
+    squares = (vectors**2).sum(axis=2)
+    distance = np.maximum(squares + (points[of] ** 2).sum(axis=1)[:, None] - 2 * np.matmul(vectors, points[of][:, :, None])[:, :, 0], 0)
     distance[~ok] = np.inf
     order = np.argsort(distance, axis=1)
     candidates, distance = np.take_along_axis(candidates, order, 1), np.take_along_axis(distance, order, 1)
-    vectors = np.take_along_axis(vectors, order[:, :, None], 1)
-    between = np.maximum(2 * norm - 2 * np.matmul(vectors, vectors.transpose(0, 2, 1)), 0)
+    vectors, squares = np.take_along_axis(vectors, order[:, :, None], 1), np.take_along_axis(squares, order, 1)
+    between = np.maximum(squares[:, :, None] + squares[:, None] - 2 * np.matmul(vectors, vectors.transpose(0, 2, 1)), 0)
     alive = np.isfinite(distance)
     kept = np.full((len(of), DEGREE), -1)
     rows = np.arange(len(of))
@@ -138,7 +149,8 @@ def _link_back(points: np.ndarray, edges: np.ndarray, new: np.ndarray) -> None:
 def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Edges of every node (-1: none) and the nodes where searches enter."""
     n = len(points)
-    order = np.random.default_rng(seed).permutation(n)
+    order = _order(points, seed)
+    nearness = np.column_stack([points, -(points**2).sum(axis=1) / 2])  # the greatest product with (x, 1) is nearest to x
     edges = np.full((n, DEGREE), -1)
     first = order[:DEGREE + 1]
     edges[first] = robust_prune(points, first, np.broadcast_to(first, (len(first), len(first))).copy())
@@ -146,7 +158,7 @@ def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarr
     at = len(first)
     while at < n:
         some = order[at:at + min(BATCH, at)]
-        found, _ = beam_search(points, edges, entries, points[some], BUILD_BEAM)
+        found, _ = beam_search(nearness, edges, entries, np.column_stack([points[some], np.ones(len(some))]), BUILD_BEAM)
         edges[some] = robust_prune(points, some, found)
         _link_back(points, edges, some)
         at += len(some)
@@ -208,9 +220,9 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 def _nearest(nodes: pa.StructArray, asked: pa.StructArray, edges: bytes, k: int) -> pa.RecordBatch:
     ids, vectors = nodes.field("ids"), _vectors(nodes.field("vector"))
     query_ids, queries = asked.field("vec_id").to_numpy(), _vectors(asked.field("vector"))
-    points = _level(vectors)
+    level = _level(vectors)
+    entries, points = _order(level)[:ENTRIES], level.astype(np.float32)
     graph = np.frombuffer(edges, "<i4").reshape(len(points), DEGREE).astype(np.int64)
-    entries = np.random.default_rng(7).permutation(len(points))[:ENTRIES]
     id_ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
     all_ids = ids.flatten().to_numpy()
     out: list[list[np.ndarray]] = [[], [], []]
