@@ -182,3 +182,14 @@ def test_recall_with_very_long_vectors(spark, lengths, rows):
     exact = _brute(list(enumerate(vectors.tolist())), every=100)
     assert got.keys() == exact.keys()
     assert sum(len({i for i, _ in got[q]} & {i for i, _ in exact[q]}) for q in exact) / (20 * len(exact)) >= 0.95
+
+
+@pytest.mark.parametrize("page, text", [
+    *((f"<div class='{c}'><nav>menu</nav><article><p>{LONG}</p></article><div class=sidebar>{LONG[:80]}</div></div>", LONG)
+      for c in ("page has-sidebar", "no-sidebar", "with-comments", "search-results", "widget")),
+    (f"<article class='post has-comments'><p>{LONG}</p></article><div class=comments><article>{LONG}</article></div>", LONG),
+    (f"<div class='search-page'><p>{LONG}</p></div>", LONG),
+    (f"<article>Teaser</article><p>{LONG} {LONG}</p><p>{LONG}</p><div class=sidebar><p>{LONG}</div>", f"Teaser\n\n{LONG} {LONG}\n\n{LONG}"),
+])
+def test_layout_names_and_text_beyond_articles(page, text):
+    assert html.main_text(page) == text

@@ -5,7 +5,10 @@ sidebars, notices, adverts, forms and reader comments (by tag, class, id or role
 links; long blocks with enough stop words are good; so are long blocks within the page's article, whatever their words.
 Short blocks, and those with few stop words, stay open. The second pass gives them the label of the nearest decided
 block, the good one at equal distance. Where a page marks its article, only blocks within are looked at and both its
-ends count as good; where no block at all is decided good, open ones are kept.
+ends count as good; where no block at all is decided good, open ones are kept. Blocks outside of a marked article are judged apart, as on a page without a mark.
+
+A bad class, id or role (and a form) is a hint only: it is ignored where no article lies outside of such elements and
+the element holds most of the page's text. Names after no-, has- or with- tell of the layout and say nothing.
 
 A page is a row, and rows are independent, so tasks extract in batches without a shuffle.
 
@@ -49,7 +52,7 @@ td tfoot th thead tr ul
 """.split())
 NESTED = frozenset("article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
 SKIPPED = frozenset("script style title noscript template svg math iframe object canvas textarea select button audio video".split())
-BAD_TAGS = frozenset("nav header footer aside form menu dialog".split())
+BAD_TAGS = frozenset("nav header footer aside menu dialog".split())
 # Words of a class, id or role.
 BAD_NAMES = frozenset("""
 ad ads adsbygoogle advert adverts advertisement advertisements advertising alert banner breadcrumb breadcrumbs comment
@@ -65,6 +68,7 @@ TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of my-name, my_name and myName
+LAYOUT = re.compile(r"(?:no|has|with|without)[-_]", re.I)
 UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,13 +76,14 @@ BAD, OPEN, GOOD = 0, 1, 2
 
 
 class _Blocks:
-    """The blocks of a page: text, characters in links, whether in a bad element and whether in an article."""
+    """The blocks of a page: text, characters in links, whether in a bad element, whether in an article, and hints."""
 
     def __init__(self) -> None:
-        self.found: list[tuple[str, int, bool, bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # nested elements: tag, bad, article
+        self.found: list[tuple[str, int, bool, bool, tuple[int, ...]]] = []
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # nested elements: tag, bad, article, whether with a hint
+        self.hints: list[int] = []  # numbers of the open elements that a name makes bad
         self.pieces: list[tuple[str, bool]] = []
-        self.bad = self.article = 0
+        self.bad = self.article = self.hinted = 0
         self.in_link = False
 
     def text(self, data: str) -> None:
@@ -91,34 +96,52 @@ class _Blocks:
         text = " ".join(unescape("".join(p for p, _ in self.pieces)).split())
         if text:
             linked = len(" ".join(unescape("".join(p for p, link in self.pieces if link)).split()))
-            self.found.append((text, linked, self.bad > 0, self.article > 0))
+            self.found.append((text, linked, self.bad > 0, self.article > 0, tuple(self.hints)))
         self.pieces = []
 
     def open(self, tag: str, attributes: str) -> None:
         names: set[str] = set()
         if attributes:
             for m in NAMES.finditer(attributes):
-                names.update(x.lower() for x in NAME_WORDS.findall(m[1] or m[2] or m[3] or ""))
+                for name in (m[1] or m[2] or m[3] or "").split():
+                    if not LAYOUT.match(name):
+                        names.update(x.lower() for x in NAME_WORDS.findall(name))
         good = tag in ("article", "main") or (tag in ("div", "section") and bool(names & GOOD_NAMES) and not names & EDGE_NAMES)
-        bad = bool(names & BAD_NAMES) or (bool(attributes) and bool(UNSEEN.search(attributes)))
-        if not good:
-            bad = bad or bool(names & EDGE_NAMES and not self.article) or (tag in BAD_TAGS and not (tag == "header" and self.article))
-        elif tag in ("article", "main") and not bad and self.stack and all(t == "form" for t, b, _ in self.stack if b):
-            self.bad, self.stack = 0, [(t, False, a) for t, b, a in self.stack]  # a form around the page
-        self.stack.append((tag, bad, good and not bad))
+        hint = bool(names & BAD_NAMES) or (not good and (tag == "form" or bool(names & EDGE_NAMES and not self.article)))
+        bad = bool(attributes) and bool(UNSEEN.search(attributes))
+        bad = bad or (not good and tag in BAD_TAGS and not (tag == "header" and self.article))
+        article = good and not bad and not hint
+        self.stack.append((tag, bad, article, hint))
         self.bad += bad
-        self.article += good and not bad
+        self.article += article
+        if hint:
+            self.hinted += 1
+            self.hints.append(self.hinted)
 
     def close(self, tag: str) -> None:
-        if any(t == tag for t, _, _ in self.stack):
+        if any(t == tag for t, *_ in self.stack):
             while True:
-                t, bad, good = self.stack.pop()
+                t, bad, good, hint = self.stack.pop()
                 self.bad -= bad
                 self.article -= good
+                if hint:
+                    self.hints.pop()
                 if t == tag:
                     break
         self.in_link = False
 
+    def judged(self) -> list[tuple[str, int, bool, bool]]:
+        """The blocks, with hints either ignored or made verdicts."""
+        own = [0 if bad else len(text) - linked for text, linked, bad, _, _ in self.found]
+        ignored: set[int] = set()
+        if not any(n and article and not hints for n, (_, _, _, article, hints) in zip(own, self.found)):
+            inside: dict[int, int] = {}
+            for n, (*_, hints) in zip(own, self.found):
+                for h in hints:
+                    inside[h] = inside.get(h, 0) + n
+            ignored = {h for h, n in inside.items() if 2 * n > sum(own)}
+        return [(text, linked, bad or not ignored.issuperset(hints), article) for text, linked, bad, article, hints in self.found]
+
 
 def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
     page, at = _Blocks(), 0
@@ -144,7 +167,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
             page.text(" " if tag == "br" else "")
     page.text(html[at:])
     page.flush()
-    return page.found
+    return page.judged()
 
 
 def _first_label(text: str, linked: int, bad: bool, article: bool) -> int:
@@ -181,17 +204,22 @@ def _decided(labels: list[int], edge: int) -> list[int]:
     return out
 
 
-def main_text(html: str) -> str:
-    found = blocks(html)
-    marked = any(article and not bad for _, _, bad, article in found)
-    if marked:
-        found = [b for b in found if b[3] and not b[2]]
+def _labels(found: list[tuple[str, int, bool, bool]], marked: bool) -> list[int]:
     labels = [_first_label(*b) for b in found]
     if GOOD in labels or marked:
-        labels = _decided(labels, GOOD if marked else BAD)
-    else:
-        labels = [GOOD if x == OPEN else x for x in labels]
-    return "\n\n".join(b[0] for b, label in zip(found, labels) if label == GOOD)
+        return _decided(labels, GOOD if marked else BAD)
+    return labels
+
+
+def main_text(html: str) -> str:
+    found = blocks(html)
+    inside = [article and not bad for _, _, bad, article in found]
+    within, beyond = ([b for b, i in zip(found, inside) if i is side] for side in (True, False))
+    within_labels, beyond_labels = _labels(within, True), _labels(beyond, False)
+    if not within:
+        beyond_labels = [GOOD if x == OPEN else x for x in beyond_labels]
+    of = {True: iter(within_labels), False: iter(beyond_labels)}
+    return "\n\n".join(b[0] for b, i in zip(found, inside) if next(of[i]) == GOOD)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
