@@ -193,3 +193,13 @@ def test_recall_with_very_long_vectors(spark, lengths, rows):
 ])
 def test_layout_names_and_text_beyond_articles(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("body", [
+    "Быстрая коричневая лиса перепрыгнула через ленивую собаку возле реки. " * 4, "敏捷的棕色狐狸跳过了河边那只懒惰的狗。" * 12,
+    "Szybki brązowy lis przeskoczył nad leniwym psem obok rzeki wczoraj. " * 4, "x = compute(y)[0]; total += x.size * 2; " * 8,
+])
+def test_unmarked_page_without_stop_words(body):
+    body = body.strip()
+    menu = "".join(f"<a>{body[:30]}</a> " for _ in range(5))
+    assert html.main_text(f"<div>{menu}</div><p>{body}</p><p>{body[:80]}</p><div>{menu}</div>") == f"{body}\n\n{body[:80].strip()}"

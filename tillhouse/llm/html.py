@@ -5,7 +5,8 @@ sidebars, notices, adverts, forms and reader comments (by tag, class, id or role
 links; long blocks with enough stop words are good; so are long blocks within the page's article, whatever their words.
 Short blocks, and those with few stop words, stay open. The second pass gives them the label of the nearest decided
 block, the good one at equal distance. Where a page marks its article, only blocks within are looked at and both its
-ends count as good; where no block at all is decided good, open ones are kept. Blocks outside of a marked article are judged apart, as on a page without a mark.
+ends count as good; where no block at all is decided good, open ones are kept. On a page whose long blocks hold hardly any of the stop words, as in another language
+or in code, these can't tell: there long blocks with few links are good. Blocks outside of a marked article are judged apart, as on a page without a mark.
 
 A bad class, id or role (and a form) is a hint only: it is ignored where no article lies outside of such elements and
 the element holds most of the page's text. Names after no-, has- or with- tell of the layout and say nothing.
@@ -31,6 +32,8 @@ SHORT = 70  # characters of a block that its words alone don't decide
 LONG = 200  # characters of a block that stop words alone make good
 MANY_STOPS = 0.3  # share of stop words in running text
 SOME_STOPS = 0.15
+FEW_STOPS = 0.05  # share in all long blocks, below which stop words can't tell
+FEW_LINKS = 0.2
 LINKS = 0.5  # share of a block's characters in links, above which it is bad
 
 # Frequent words of the languages at hand.
@@ -170,7 +173,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
     return page.judged()
 
 
-def _first_label(text: str, linked: int, bad: bool, article: bool) -> int:
+def _first_label(text: str, linked: int, bad: bool, article: bool, telling: bool) -> int:
     if bad or linked > LINKS * len(text):
         return BAD
     if "©" in text and not article:
@@ -179,8 +182,10 @@ def _first_label(text: str, linked: int, bad: bool, article: bool) -> int:
         return OPEN
     if article:
         return GOOD
-    words = WORD.findall(text.lower())
-    stops = sum(w in STOPS for w in words) / max(1, len(words))
+    if not telling:
+        return GOOD if len(text) >= LONG and linked <= FEW_LINKS * len(text) else OPEN
+    words, n = _stops(text)
+    stops = n / max(1, words)
     if stops >= MANY_STOPS:
         return GOOD if len(text) >= LONG else OPEN
     return OPEN if stops >= SOME_STOPS else BAD
@@ -204,8 +209,19 @@ def _decided(labels: list[int], edge: int) -> list[int]:
     return out
 
 
-def _labels(found: list[tuple[str, int, bool, bool]], marked: bool) -> list[int]:
-    labels = [_first_label(*b) for b in found]
+def _stops(text: str) -> tuple[int, int]:
+    """Words, and stop words among them."""
+    words = WORD.findall(text.lower())
+    return len(words), sum(w in STOPS for w in words)
+
+
+def _telling(found: list[tuple[str, int, bool, bool]]) -> bool:
+    sums = [_stops(text) for text, linked, bad, _ in found if not bad and len(text) >= SHORT and linked <= LINKS * len(text)]
+    return sum(n for _, n in sums) >= FEW_STOPS * sum(words for words, _ in sums) > 0
+
+
+def _labels(found: list[tuple[str, int, bool, bool]], marked: bool, telling: bool) -> list[int]:
+    labels = [_first_label(*b, telling) for b in found]
     if GOOD in labels or marked:
         return _decided(labels, GOOD if marked else BAD)
     return labels
@@ -215,7 +231,8 @@ def main_text(html: str) -> str:
     found = blocks(html)
     inside = [article and not bad for _, _, bad, article in found]
     within, beyond = ([b for b, i in zip(found, inside) if i is side] for side in (True, False))
-    within_labels, beyond_labels = _labels(within, True), _labels(beyond, False)
+    telling = not beyond or _telling(found)
+    within_labels, beyond_labels = _labels(within, True, telling), _labels(beyond, False, telling)
     if not within:
         beyond_labels = [GOOD if x == OPEN else x for x in beyond_labels]
     of = {True: iter(within_labels), False: iter(beyond_labels)}
