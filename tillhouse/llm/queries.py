@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ann, bpe, html, lm, mixing, quality, simhash, sql, substrings, token_files, warc
+from tillhouse.llm import (
+    ann, bpe, clusters, html, lines, lm, merkle, mixing, quality, simhash, sql, substrings, token_files, warc,
+)
 from tillhouse.llm.common import table
 
 
@@ -64,6 +66,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.kept_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.with_inertia(*clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substrings,
         op9_nearest,
         op10_warc,
+        op11_lines,
+        op12_clusters,
+        op13_merkle,
     )
 }
 
@@ -84,4 +101,7 @@ SQL: dict[str, str] = {
     "op5_mixing": sql.MIXING,
     "op6_quality_rules": sql.QUALITY_RULES,
     "op10_warc": sql.WARC,
+    "op11_lines": sql.LINE_DEDUP,
+    "op12_clusters": sql.CLUSTERS,
+    "op13_merkle": sql.MERKLE,
 }
