@@ -2,24 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillhouse.functions.draws import key_bucket
 
 
-def random_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` random rows as a top-n by a random key: no full sort."""
-    return df.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(n).drop("_draw")
+def draw_of(df: DataFrame, seed: int, key: Column | None = None) -> Column:
+    """A row's draw as hexadecimal text: a hash of the seed and its key (default: all columns).
+
+    It belongs to the row, not to its place, so a sample is the same at any partitioning and on any run, and samples of
+    parts of a table can be merged.
+    """
+    named = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])) if key is None else key.cast("string")
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(named, F.lit(""))))
+
+
+def random_rows(df: DataFrame, n: int, seed: int, key: Column | None = None) -> DataFrame:
+    """The ``n`` rows with the smallest draws: each task keeps its own ``n``, and there is no full sort."""
+    return df.withColumn("_draw", draw_of(df, seed, key)).orderBy("_draw").limit(n).drop("_draw")
+
+
+def random_row(df: DataFrame, seed: int, key: Column | None = None) -> DataFrame:
+    return random_rows(df, 1, seed, key)
+
+
+def random_rows_per_group(df: DataFrame, groups: Sequence[str], n: int, seed: int, key: Column | None = None) -> DataFrame:
+    """``n`` random rows of every group; a task sends ``n`` rows of a group at most, however hot it is."""
+    by_draw = W.partitionBy(*groups).orderBy("_draw")
+    drawn = df.withColumn("_draw", draw_of(df, seed, key))
+    return drawn.withColumn("_rank", F.row_number().over(by_draw)).where(F.col("_rank") <= n).drop("_rank", "_draw")
 
 
-def random_row(df: DataFrame, seed: int) -> DataFrame:
-    return random_rows(df, 1, seed)
+def merge_samples(samples: Sequence[DataFrame], n: int, seed: int, key: Column | None = None) -> DataFrame:
+    """The sample of the whole from the samples of its parts, made with the same ``n``, seed and key."""
+    return random_rows(reduce(DataFrame.unionByName, samples), n, seed, key)
 
 
-def coin_sample(df: DataFrame, share: float, seed: int) -> DataFrame:
-    """Each row is kept with the given probability."""
-    return df.sample(withReplacement=False, fraction=share, seed=seed)
+def coin_sample(df: DataFrame, share: float, seed: int, key: Column | None = None) -> DataFrame:
+    """Each row is kept with the given probability; with a key, by its draw, so that a row stays in or out for good."""
+    if key is None:
+        return df.sample(withReplacement=False, fraction=share, seed=seed)
+    draw = F.conv(F.substring(draw_of(df, seed, key), 1, 13), 16, 10).cast("bigint")
+    return df.where(draw < int(share * 2**52))
 
 
 def head(df: DataFrame, n: int) -> DataFrame:

@@ -209,16 +209,40 @@ def store_centroid(spark, sf):
     return center.select(F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"))
 
 
-@query("item_id bigint, upc_code text, category_code bigint")
+@query(
+    "item_id bigint, upc_code text, category_code bigint",
+    """SELECT item_id, upc_code, category_code FROM items
+       WHERE category_code = (SELECT category_code FROM categories ORDER BY md5('11|' || category_code) LIMIT 1)
+       ORDER BY md5('12|' || item_id) LIMIT 40""",
+    ["items", "categories"],
+)
 def random_items(spark, sf):
     """Random items of a random category, as chosen for a price update."""
-    category = sampling.random_row(rv.categories(spark, sf), seed=11).select("category_code")
+    category = sampling.random_row(rv.categories(spark, sf), 11, F.col("category_code")).select("category_code")
     items = rv.items(spark, sf).join(F.broadcast(category), "category_code")  # one row
-    return sampling.random_rows(items, 40, seed=12)
+    return sampling.random_rows(items, 40, 12, F.col("item_id"))
+
+
+@query(
+    "item_id bigint, category_code bigint",
+    """SELECT item_id, category_code FROM items
+       QUALIFY row_number() OVER (PARTITION BY category_code ORDER BY md5('13|' || item_id)) <= 5""",
+    ["items"],
+)
+def random_items_per_category(spark, sf):
+    """Five random items of every category, drawn from two halves of the table and merged."""
+    items, key = rv.items(spark, sf), F.col("item_id")
+    halves = [sampling.random_rows_per_group(part, ["category_code"], 5, 13, key) for part in (items.where("case_qty < 20"), items.where("case_qty >= 20"))]
+    return sampling.random_rows_per_group(halves[0].unionByName(halves[1]), ["category_code"], 5, 13, key)
 
 
-@query("category_code bigint, category_name text")
+@query(
+    "p_partkey bigint, category_code bigint, category_name text",
+    """SELECT p_partkey, 20000 + 10 * CAST(substr(p_brand, 7) AS BIGINT) AS category_code, p_name AS category_name FROM part
+       WHERE ('0x' || substr(md5('7|' || p_partkey), 1, 13))::BIGINT < CAST(floor(0.3::DOUBLE * 4503599627370496) AS BIGINT)""",
+)
 def bernoulli_sample(spark, sf):
-    return sampling.coin_sample(rv.table(spark, sf, "part"), 0.3, seed=7).select(
-        rv.category_code().alias("category_code"), F.col("p_name").alias("category_name")
+    part = rv.table(spark, sf, "part")
+    return sampling.coin_sample(part, 0.3, 7, F.col("p_partkey")).select(
+        "p_partkey", rv.category_code().alias("category_code"), F.col("p_name").alias("category_name")
     )

@@ -22,13 +22,14 @@ PARTS = T.StructType().add("p_partkey", "long").add("p_name", "string").add("p_r
 
 
 @query("n bigint, distinct_items bigint, known bigint, categories bigint",
-       """SELECT n, n AS distinct_items, n AS known, 1 AS categories
-          FROM (SELECT least(5, min(c)) AS n FROM (SELECT count(*) AS c FROM items GROUP BY category_code))""", ["items"])
+       """SELECT least(5, count(*)) AS n, least(5, count(*)) AS distinct_items, least(5, count(*)) AS known, 1 AS categories
+          FROM items WHERE category_code = (SELECT category_code FROM categories ORDER BY md5('11|' || category_code) LIMIT 1)""",
+       ["items", "categories"])
 def random_rows_of_one_category(spark, sf):
     """Five random items of a random category exist, differ and share the category."""
     items = rv.items(spark, sf)
-    category = sampling.random_row(rv.categories(spark, sf), seed=11).select("category_code")
-    chosen = sampling.random_rows(items.join(category, "category_code"), 5, seed=12).select("item_id", "category_code")
+    category = sampling.random_row(rv.categories(spark, sf), 11, F.col("category_code")).select("category_code")
+    chosen = sampling.random_rows(items.join(category, "category_code"), 5, 12, F.col("item_id")).select("item_id", "category_code")
     known = items.select("item_id", F.lit(1).alias("known"))
     return chosen.join(known, "item_id", "left").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("item_id").alias("distinct_items"),

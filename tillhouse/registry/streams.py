@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,7 @@ from tillhouse.schemas import RETAIL_SCANS
 from tillhouse.session import new_folder
 from tillhouse.sources import retail_views as rv
 from tillhouse.sources.readers import read_table
-from tillhouse.streaming import ingest, monitor, sources
+from tillhouse.streaming import ingest, monitor, sources, zones
 from tillhouse.streaming.logs import read_log, write_log
 
 LINES = T.StructType().add("seq", "string").add("value", "string")
@@ -155,3 +157,98 @@ def stream_distinct_scans(spark, sf):
     ingest.log_distinct_scans(_stream(spark, scans.unionByName(scans)), log, checkpoint).awaitTermination()
     once = ingest.distinct_scans(read_log(spark, log, scans.schema))
     return once.groupBy("timezone").agg(F.count(F.lit(1)).alias("scans"))
+
+
+DELAY = "6 hours"
+
+
+def _by_time(rows: DataFrame, parts: int, late: Column, time: str = "scan_ts", path: str | None = None) -> str:
+    """Rows in as many files as ``parts``, each with a stretch of time, in order; ``late`` rows come in the last one."""
+    path = path or new_folder(rows.sparkSession, "arriving")
+    lo, hi = rows.agg(F.min(time), F.max(time)).first()
+    step = (hi - lo) / parts
+    for i in range(parts):
+        until = F.lit(True) if i == parts - 1 else F.col(time) < F.lit(lo + (i + 1) * step)
+        stretch = (F.col(time) >= F.lit(lo + i * step)) & until
+        rows.where(stretch & ~late | late if i == parts - 1 else stretch & ~late).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query(
+    "scan_id text, unit_qty bigint, scan_ts text, copies bigint",
+    """SELECT scan_id, unit_qty, scan_ts, CASE WHEN event_type = 'purchase' AND scan_ts < TIMESTAMP '2024-01-11' THEN 2 ELSE 1 END AS copies
+       FROM timed_scans""",
+    ["timed_scans"],
+)
+def stream_distinct_within(spark, sf):
+    """Every scan is sent twice within the delay, and some once more 19 days later, which is beyond it.
+
+    Those 19 days apart count as new scans, the others once, with a state that holds the scans of the delay only.
+    """
+    scans = rv.timed_scans(spark, sf).select("scan_id", "unit_qty", "scan_ts")
+    again = rv.table(spark, sf, "events").where("event_type = 'purchase' AND ts < '2024-01-11'").select(
+        F.col("event_id").cast("string").alias("scan_id"), F.lit(1).alias("unit_qty"), F.timestamp_add("DAY", F.lit(19), F.col("ts")).alias("scan_ts"))
+    path = _by_time(scans.unionByName(scans).unionByName(again), 6, F.lit(False))
+    log, checkpoint = new_folder(spark, "distinct"), new_folder(spark, "checkpoint")
+    stream = sources.table_files(spark, path, scans.schema, files_per_batch=1)
+    ingest.log_distinct_within(stream, log, checkpoint, DELAY).awaitTermination()
+    return read_log(spark, log, scans.schema).groupBy("scan_id", "unit_qty").agg(
+        F.min("scan_ts").alias("scan_ts"), F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "minute text, timezone text, scans bigint, on_time bigint, late bigint",
+    """SELECT minute, timezone, count(*) AS scans, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late
+       FROM (SELECT date_trunc('minute', scan_ts) AS minute, timezone,
+                    event_type = 'error' AND date_trunc('minute', scan_ts) + INTERVAL 1 MINUTE <= (
+                        SELECT max(scan_ts) - INTERVAL 6 HOUR FROM timed_scans
+                        WHERE event_type <> 'error' AND scan_ts < (SELECT min(scan_ts) + 3 * ((max(scan_ts) - min(scan_ts)) / 5) FROM timed_scans)
+                    ) AS late FROM timed_scans)
+       WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(scan_ts) - INTERVAL 6 HOUR FROM timed_scans)
+       GROUP BY ALL""",
+    ["timed_scans"],
+)
+def stream_minute_rate(spark, sf):
+    """Closed minutes with the scans that were in time for them and those that came late: voids arrive at the end.
+
+    A micro-batch takes scans by the watermark that the batch before it began with, so the last of five files is held
+    against the first three. All counts are folded; what is read is a row a minute and zone.
+    """
+    scans = rv.timed_scans(spark, sf).select("scan_ts", "timezone", "unit_qty")
+    path = _by_time(scans, 5, F.col("unit_qty") == 0)
+    log, table, closed, marks, more = (new_folder(spark, n) for n in ("minutes", "counts", "closed", "checkpoint", "checkpoint"))
+    stream = lambda: sources.table_files(spark, path, scans.schema, files_per_batch=1)
+    monitor.log_closed_minutes(stream(), closed, marks, DELAY).awaitTermination()
+    monitor.log_minutes_by_day(stream(), log, more).awaitTermination()
+    monitor.fold_minute_counts(spark, log, table)
+    counts = monitor.read_minute_counts(spark, table, log)
+    on_time = read_log(spark, closed, monitor.closed_minutes(scans, DELAY).schema).drop("_batch")
+    late = monitor.late_counts(on_time, counts)
+    met = counts.join(on_time, monitor.MINUTE_KEY, "left").join(late, monitor.MINUTE_KEY, "left")
+    nothing = F.lit(0)
+    return met.where(F.coalesce("on_time", "late").isNotNull()).select(
+        *monitor.MINUTE_KEY, "scans", F.coalesce("on_time", nothing).alias("on_time"), F.coalesce("late", nothing).alias("late"))
+
+
+_LOST = "timezone IN ('AKST (GMT-09)', 'HST (GMT-10)') AND ts >= '2024-01-20'"
+
+
+@query(
+    ZONE_STATE + ", is_silent boolean",
+    f"""SELECT z.*, s.is_silent FROM ({ZONE_STATE_SQL.replace("good_messages", "heard")}) z JOIN (
+            SELECT timezone, max(stamp) < (SELECT strftime(max(CAST(stamp AS TIMESTAMP)) - INTERVAL 18 HOUR, '%Y-%m-%d %H:%M:%S') FROM heard)
+                   AS is_silent FROM heard GROUP BY timezone) s ON z.timezone = s.timezone""",
+    ["heard"],
+)
+def stream_zone_processor(spark, sf):
+    """Zone state by a processor with state and timers, restarted half-way; two zones are lost on the way."""
+    lines = message_lines(spark, sf).join(rv.timed_scans(spark, sf).select(
+        F.col("scan_id").cast("bigint").alias("seq"), F.col("scan_ts").alias("ts"), "timezone"), "seq")
+    heard = lines.where(f"NOT ({_LOST})").select("seq", "value", "ts")
+    path, log, checkpoint = (new_folder(spark, n) for n in ("arriving", "zones", "checkpoint"))
+    half = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    for wave in (heard.where(F.col("ts") < half), heard.where(F.col("ts") >= half)):
+        files = _by_time(wave, 2, F.lit(False), "ts", path)
+        stream = sources.table_files(spark, files, MESSAGES, files_per_batch=1)
+        zones.log_zone_marks(stream, F.col("seq"), log, checkpoint, DELAY, dt.timedelta(hours=12)).awaitTermination()
+    return zones.current_zones(read_log(spark, log, zones.STATE))

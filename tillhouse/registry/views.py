@@ -97,6 +97,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM timed_scans"""),
     "good_messages": (("messages",), """
         SELECT * FROM messages WHERE NOT torn AND type <> 'heartbeat'"""),
+    "heard": (("good_messages",), """
+        SELECT * FROM good_messages
+        WHERE NOT (timezone IN ('AKST (GMT-09)', 'HST (GMT-10)') AND stamp >= '2024-01-20 00:00:00')"""),
     "weights": (("items",), f"""
         SELECT *, sum(_frequency) OVER (ORDER BY item_id) AS cum_weight,
                sum(_frequency) OVER (ORDER BY item_id) - _frequency AS cum_before

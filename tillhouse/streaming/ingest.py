@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillhouse.functions.records import check_contract
-from tillhouse.functions.temporal import parse_scan_time, scan_date
+from tillhouse.functions.temporal import event_time, parse_scan_time, scan_date
 from tillhouse.operators.versions import apply_changes, latest_per_key
 from tillhouse.streaming.logs import BATCH, start, store_batch, write_log
 
@@ -81,6 +81,24 @@ def distinct_scans(log: DataFrame) -> DataFrame:
     return latest_per_key(log, VERSION_KEY, [-F.col(BATCH)]).drop(BATCH)
 
 
+def distinct_within(scans: DataFrame, delay: str, time: str = "scan_ts") -> DataFrame:
+    """A stream's scans without those repeated within ``delay`` of event time.
+
+    State holds a scan and quantity until the watermark has passed its time by the delay, so its size follows the rate of
+    arrival, not the history; ``distinct_scans`` finds repeats at any distance, on reading. A scan that is older than the
+    watermark, which trails the latest time seen by the delay, is dropped: its minute counts as late in ``monitor``.
+    """
+    timed = event_time(scans, time).withWatermark(time, delay)
+    once = timed.dropDuplicatesWithinWatermark(VERSION_KEY)
+    return once.withColumn(time, F.col(time).cast("timestamp_ntz"))
+
+
+def log_distinct_within(
+    scans: DataFrame, path: str, checkpoint: str, delay: str, time: str = "scan_ts", available_now: bool = True
+) -> StreamingQuery:
+    return write_log(distinct_within(scans, delay, time), path, checkpoint, available_now=available_now)
+
+
 def log_item_changes(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     return write_log(changes, path, checkpoint, available_now=available_now)
 
