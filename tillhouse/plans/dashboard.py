@@ -45,12 +45,10 @@ def average_day(scans: DataFrame, today: dt.date, days: int = WINDOW_DAYS) -> Da
 
 
 def _star(scans: DataFrame, stores: DataFrame, items: DataFrame, categories: DataFrame) -> DataFrame:
-    """Monthly scans joined with all three dimensions.
+    """Scans with their month, joined with all three dimensions one after the other.
 
-    The dimensions are joined one after the other and each is broadcast only if
-    a count proves it small; then no scan is shuffled. When stores or items
-    have outgrown a broadcast, scans are first summed per month, store and
-    item, so that a hot store or item enters the shuffle join as few rows.
+    Nothing is counted or hinted: the planner broadcasts a dimension that its statistics, or its measured size at run time,
+    prove small, and shuffles otherwise, where adaptive execution splits a hot store or item.
     """
     monthly = with_scan_time(scans).select(
         month_start(F.col("scan_ts")).alias("year_month"),

@@ -12,7 +12,7 @@ from tillhouse.functions.temporal import scan_date
 from tillhouse.operators.promotions import best_prices, draft_promotions
 from tillhouse.plans import dashboard, inventory, silver
 from tillhouse.registry.core import query
-from tillhouse.session import new_folder
+from tillhouse.session import new_folder, staged
 from tillhouse.sources import retail_views as rv
 from tillhouse.sources.readers import read_table
 from tillhouse.sources.writers import overwrite_partitions, overwrite_table, write_partitioned, upsert_table
@@ -311,5 +311,7 @@ def promotion_drafts(spark, sf):
     ["categories", "detail"],
 )
 def promotion_best_price(spark, sf):
-    sales = detail(spark, sf).withColumn("sale_date", scan_date(F.col("scan_timestamp")))
+    """Sales are matched where they are stored, dealt by day."""
+    stored = staged(detail(spark, sf).repartition("scan_datestamp"), "sales_detail")
+    sales = stored.withColumn("sale_date", scan_date(F.col("scan_timestamp")))
     return best_prices(sales, promotions(spark, sf))
