@@ -203,3 +203,49 @@ def test_unmarked_page_without_stop_words(body):
     body = body.strip()
     menu = "".join(f"<a>{body[:30]}</a> " for _ in range(5))
     assert html.main_text(f"<div>{menu}</div><p>{body}</p><p>{body[:80]}</p><div>{menu}</div>") == f"{body}\n\n{body[:80].strip()}"
+
+
+@pytest.mark.parametrize("piece", ["<a", "<a \"", "<a '\"", "</script", "<!-", "<div class=ad>x", "<div>", "<p title='a", "<li class=comment>x", "</section>", "<a b=\"<", "< ", "<script>", "&am", "<span hidden>x"])
+def test_broken_markup_takes_little_time(piece):
+    import time
+
+    for page in (piece * (1_000_000 // len(piece)), "<div>" * 50_000 + piece * (700_000 // len(piece))):
+        start = time.process_time()
+        html.main_text(page)
+        assert time.process_time() - start < 6, page[:20]
+
+
+@pytest.mark.parametrize("inner", [
+    "<p class='ad'>no</p>", "<span class=ad>no</span>", "<ul><li class='comment'><div>no<p>no</div></ul>", "<h3 class=related>no</h3>",
+    "<p hidden>no</p>", "<p class=sponsored>no", "<li class=comment>no<ul><li>no</ul>no</li>", "<table><tr class=advert><td>no<td>no</table>",
+    "<i style='display:none'>no <i>no</i> no</i>", "<b aria-hidden=true>no</b>",
+])
+def test_marked_parts_of_an_article_go(inner):
+    page = f"<article><h1>Title</h1><p>{LONG}</p>{inner}<p>{LONG}</p><p class='text-body'>End don't <b title=\"a>b\">stop</b></p></article>"
+    assert html.main_text(page) == f"Title\n\n{LONG}\n\n{LONG}\n\nEnd don't stop"
+
+
+def test_copyright_only_cuts_short_blocks():
+    text = LONG + " The sign © of the law is what this text is about, and it has been so for a long time in all of the places there are."
+    assert html.main_text(f"<div><p>{text}<p>{LONG}</div><div>© me</div>") == f"{text}\n\n{LONG}"
+
+
+def test_pages_edge_tables(spark):
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html.extract(empty).count() == 0
+    long = f"<article><p>{LONG} {'x ' * 500_000}</p></article>"
+    row = html.extract(spark.createDataFrame([(1, "u", long)] * 2, "page_id bigint, url string, html string")).collect()
+    assert len(row) == 2 and row[0].n_chars == len(" ".join((LONG + " " + "x " * 500_000).split()))
+
+
+@pytest.mark.parametrize("number", range(20))
+def test_unmarked_pages(number):
+    """The two passes alone: nothing on the page is named."""
+    draw = random.Random(number)
+    body = [LONG + f" It is the part {i} of {number}." for i in range(draw.randint(2, 6))]
+    short = [f"Short line {i}" for i in range(len(body) - 1)]
+    menu = "".join(f"<li><a href=/{i}>Menu entry {i}</a>" for i in range(draw.randint(3, 12)))
+    middle = "".join(f"<p>{b}</p><p>{s}</p>" for b, s in zip(body, [*short, ""]))
+    page = f"<html><body><ul>{menu}</ul><div>{middle}</div><div><a>more of this</a> <a>and of that</a></div><p>Copyright © {number}</body>"
+    want = [x for pair in zip(body, [*short, ""]) for x in pair if x]
+    assert html.main_text(page) == "\n\n".join(want)

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``limit`` bytes, where a distinct word costs something once for each."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def squeeze(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block, bytes of equal weight side by side."""
     out = []

@@ -21,6 +21,7 @@ fail: open elements end with the element around them, and an unclosed comment or
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -67,8 +68,11 @@ subscribe toolbar widget widgets
 EDGE_NAMES = frozenset("header top bottom topbar".split())  # bad outside of the article
 GOOD_NAMES = frozenset("article content entry main post story".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
+# Names that silence running text too, where others are used for highlighting.
+ADVERTS = frozenset("ad ads adsbygoogle advert adverts advertisement advertisements promo promoted sponsor sponsored".split())
+
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
+STOP = re.compile("[<>\"']")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # parts of my-name, my_name and myName
 LAYOUT = re.compile(r"(?:no|has|with|without)[-_]", re.I)
@@ -78,96 +82,196 @@ WORD = re.compile(r"[^\W\d_]+")
 BAD, OPEN, GOOD = 0, 1, 2
 
 
+def _end_of_tag(html: str, at: int, last: dict[str, int]) -> int:
+    """The place after the tag's ``>``, which isn't one in a quoted value; -1 where another tag begins before it."""
+    while m := STOP.search(html, at):
+        sign, at = m[0], m.end()
+        if sign == ">":
+            return at
+        if sign == "<":
+            return -1
+        before = m.start() - 1
+        while html[before].isspace():
+            before -= 1
+        if html[before] == "=":
+            if m.start() >= last[sign]:
+                return -1
+            at = html.index(sign, at) + 1
+    return -1
+
+
+class _Tags:
+    """The tags of a page one after the other. Every character is looked at a few times at most, however broken."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.at = html, 0
+        self.last = {sign: html.rfind(sign) for sign in "\"'>"}
+
+    def next(self) -> tuple[int, bool, str, str] | None:
+        """Where the next tag or comment begins, whether it closes, its name (none: no element) and its attributes."""
+        html, look = self.html, self.at
+        while (start := html.find("<", look)) >= 0:
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                self.at = end + 3 if end >= 0 else len(html)
+                return start, False, "", ""
+            look = start + 1
+            if start > self.last[">"]:
+                look = html.find("<!--", start)
+                if look < 0:
+                    return None
+            elif m := TAG_NAME.match(html, start):
+                end = _end_of_tag(html, m.end(), self.last)
+                self.at = end if end >= 0 else html.index(">", m.end()) + 1
+                return start, bool(m[1]), m[2].lower(), html[m.end():self.at - 1]
+            elif html[look:look + 1] in ("!", "?", "/"):
+                self.at = html.index(">", look) + 1
+                return start, False, "", ""
+        return None
+
+    def skip(self, tag: str) -> None:
+        """Go behind the closing tag."""
+        m = re.compile(f"</{tag}", re.I).search(self.html, self.at)
+        end = self.html.find(">", m.end()) if m else -1
+        self.at = end + 1 if end >= 0 else len(self.html)
+
+
 class _Blocks:
-    """The blocks of a page: text, characters in links, whether in a bad element, whether in an article, and hints."""
+    """The blocks of a page: text, characters in links, whether in a bad element, whether in an article, and a hint."""
 
     def __init__(self) -> None:
-        self.found: list[tuple[str, int, bool, bool, tuple[int, ...]]] = []
-        self.stack: list[tuple[str, bool, bool, bool]] = []  # nested elements: tag, bad, article, whether with a hint
-        self.hints: list[int] = []  # numbers of the open elements that a name makes bad
+        self.found: list[tuple[str, int, bool, bool, int]] = []
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # elements that matter: tag, bad, article, whether with a hint
+        self.depth: Counter[str] = Counter()  # of the tags in the stack
+        self.hints = [0]  # numbers of the open elements that a name makes bad, innermost last
+        self.around = [0]  # for each such number, the next one outwards; 0 is none
         self.pieces: list[tuple[str, bool]] = []
-        self.bad = self.article = self.hinted = 0
+        self.bad = self.article = 0
         self.in_link = False
+        self.silent: list[str] = []  # open elements within running text, from one that isn't shown
 
     def text(self, data: str) -> None:
-        if data:
+        if data and not self.silent:
             self.pieces.append((data, self.in_link))
 
     def flush(self) -> None:
+        self.silent = []
         if not self.pieces:
             return
         text = " ".join(unescape("".join(p for p, _ in self.pieces)).split())
         if text:
             linked = len(" ".join(unescape("".join(p for p, link in self.pieces if link)).split()))
-            self.found.append((text, linked, self.bad > 0, self.article > 0, tuple(self.hints)))
+            self.found.append((text, linked, self.bad > 0, self.article > 0, self.hints[-1]))
         self.pieces = []
 
-    def open(self, tag: str, attributes: str) -> None:
+    @staticmethod
+    def _names(attributes: str) -> set[str]:
         names: set[str] = set()
-        if attributes:
-            for m in NAMES.finditer(attributes):
-                for name in (m[1] or m[2] or m[3] or "").split():
-                    if not LAYOUT.match(name):
-                        names.update(x.lower() for x in NAME_WORDS.findall(name))
+        for m in NAMES.finditer(attributes):
+            for name in (m[1] or m[2] or m[3] or "").split():
+                if not LAYOUT.match(name):
+                    names.update(x.lower() for x in NAME_WORDS.findall(name))
+        return names
+
+    def open(self, tag: str, attributes: str) -> None:
+        """A block element; those that neither nest nor matter leave no trace."""
+        if self.stack and (self.stack[-1][0] == "p" or (self.stack[-1][0] == tag and tag not in NESTED)):
+            self._pop()  # its closing tag may be left out
+        names = self._names(attributes) if attributes else set()
+        hidden = bool(attributes) and bool(UNSEEN.search(attributes))
+        if tag not in NESTED:
+            hint = bool(names & BAD_NAMES)
+            if (hidden or hint) and tag not in ("html", "body"):
+                self._push(tag, hidden, False, hint)
+            return
         good = tag in ("article", "main") or (tag in ("div", "section") and bool(names & GOOD_NAMES) and not names & EDGE_NAMES)
         hint = bool(names & BAD_NAMES) or (not good and (tag == "form" or bool(names & EDGE_NAMES and not self.article)))
-        bad = bool(attributes) and bool(UNSEEN.search(attributes))
-        bad = bad or (not good and tag in BAD_TAGS and not (tag == "header" and self.article))
-        article = good and not bad and not hint
+        bad = hidden or (not good and tag in BAD_TAGS and not (tag == "header" and self.article))
+        self._push(tag, bad, good and not bad and not hint, hint)
+
+    def inline(self, tag: str, closing: bool, attributes: str) -> None:
+        """An element within running text: silent with all it holds if hidden or an advert."""
+        if self.silent:
+            if closing:
+                if tag in self.silent:
+                    while self.silent.pop() != tag:
+                        pass
+            elif tag == self.silent[0] and not attributes.endswith("/"):
+                self.silent.append(tag)
+        elif attributes and not closing and tag not in ("br", "wbr", "img", "input", "hr", "meta", "link") and (
+                UNSEEN.search(attributes) or self._names(attributes) & ADVERTS):
+            self.silent = [tag]
+
+    def _push(self, tag: str, bad: bool, article: bool, hint: bool) -> None:
         self.stack.append((tag, bad, article, hint))
+        self.depth[tag] += 1
         self.bad += bad
         self.article += article
         if hint:
-            self.hinted += 1
-            self.hints.append(self.hinted)
+            self.around.append(self.hints[-1])
+            self.hints.append(len(self.around) - 1)
+
+    def _pop(self) -> str:
+        tag, bad, article, hint = self.stack.pop()
+        self.depth[tag] -= 1
+        self.bad -= bad
+        self.article -= article
+        if hint:
+            self.hints.pop()
+        return tag
 
     def close(self, tag: str) -> None:
-        if any(t == tag for t, *_ in self.stack):
-            while True:
-                t, bad, good, hint = self.stack.pop()
-                self.bad -= bad
-                self.article -= good
-                if hint:
-                    self.hints.pop()
-                if t == tag:
-                    break
-        self.in_link = False
+        if tag in NESTED:
+            if self.depth[tag]:
+                while self._pop() != tag:
+                    pass
+            self.in_link = False
+        elif self.stack and self.stack[-1][0] == tag:
+            self._pop()
 
     def judged(self) -> list[tuple[str, int, bool, bool]]:
-        """The blocks, with hints either ignored or made verdicts."""
+        """The blocks, with hints either ignored or made verdicts.
+
+        A hint is ignored where its element holds most of the page; then so are all hints around it.
+        """
         own = [0 if bad else len(text) - linked for text, linked, bad, _, _ in self.found]
-        ignored: set[int] = set()
-        if not any(n and article and not hints for n, (_, _, _, article, hints) in zip(own, self.found)):
-            inside: dict[int, int] = {}
-            for n, (*_, hints) in zip(own, self.found):
-                for h in hints:
-                    inside[h] = inside.get(h, 0) + n
-            ignored = {h for h, n in inside.items() if 2 * n > sum(own)}
-        return [(text, linked, bad or not ignored.issuperset(hints), article) for text, linked, bad, article, hints in self.found]
+        ignored = [False] * len(self.around)
+        if not any(n and article and not hint for n, (_, _, _, article, hint) in zip(own, self.found)):
+            inside, whole = [0] * len(self.around), sum(own)
+            for n, (*_, hint) in zip(own, self.found):
+                inside[hint] += n
+            for hint in range(len(inside) - 1, 0, -1):
+                ignored[hint] = 2 * inside[hint] > whole
+                inside[self.around[hint]] += inside[hint]
+        ignored[0] = True
+        return [(text, linked, bad or not ignored[hint], article) for text, linked, bad, article, hint in self.found]
 
 
 def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
-    page, at = _Blocks(), 0
-    while m := TAG.search(html, at):
-        page.text(html[at:m.start()])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+    page, tags, at = _Blocks(), _Tags(html), 0
+    while found := tags.next():
+        start, closing, tag, attributes = found
+        page.text(html[at:start])
+        at = tags.at
         if not tag:
             continue
-        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in SKIPPED and not closing and not attributes.endswith("/"):
-            end = re.compile(f"</{tag}[^>]*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            tags.skip(tag)
+            at = tags.at
         elif tag in BLOCKS:
             page.flush()
-            if tag in NESTED:
-                page.close(tag) if closing else page.open(tag, attributes)
-            elif not closing and attributes and tag not in ("html", "body"):
-                page.in_link = False
-        elif tag == "a":
-            page.in_link = not closing
-        elif tag in ("br", "wbr", "img"):
-            page.text(" " if tag == "br" else "")
+            if closing:
+                page.close(tag)
+            else:
+                if attributes and tag not in NESTED and tag not in ("html", "body"):
+                    page.in_link = False
+                page.open(tag, attributes)
+        else:
+            page.inline(tag, closing, attributes)
+            if tag == "a":
+                page.in_link = not closing
+            elif tag == "br":
+                page.text(" ")
     page.text(html[at:])
     page.flush()
     return page.judged()
@@ -176,7 +280,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
 def _first_label(text: str, linked: int, bad: bool, article: bool, telling: bool) -> int:
     if bad or linked > LINKS * len(text):
         return BAD
-    if "©" in text and not article:
+    if "©" in text and not article and len(text) < LONG:
         return BAD
     if len(text) < SHORT:
         return OPEN

@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.llm.blocks import gathered
 from tillhouse.session import staged
 
 CLASSES = 32  # at least
@@ -42,6 +43,8 @@ RATE = 0.1
 BATCH = 4096
 SEED = 11
 
+CHUNK_BYTES = 12 << 20  # of text whose distinct words are looked up together
+
 SIZE = CLASSES * MEMBERS  # at least; what is beyond it stands for the gap past a document's ends
 CHUNK = (
     "chunk bigint, doc_id array<bigint>, n_tokens array<bigint>, log_likelihood array<double>, words array<string>, "
@@ -77,7 +80,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """word and n over all documents; tasks send each distinct word of a batch once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_BYTES):
             found = _words(batch.column(0))[0].value_counts()
             yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
 
@@ -97,10 +100,13 @@ def _coded(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[pa.Array, np.nd
     """Distinct words, their ids, all words as numbers into these, and how many words each text has."""
     words, counts = _words(texts)
     coded = words.dictionary_encode()
-    frequent = classes_of(vocabulary) * MEMBERS - HASHED
-    ids = np.fromiter(
-        (vocabulary[w] if w in vocabulary else frequent + zlib.crc32(w.encode()) % HASHED for w in coded.dictionary.to_pylist()),
-        np.int32, len(coded.dictionary))
+    distinct = coded.dictionary
+    ids = pc.index_in(distinct.cast(pa.string()), pa.array(list(vocabulary), pa.string())).fill_null(-1).to_numpy().astype(np.int32)
+    rare = np.flatnonzero(ids < 0)
+    if len(rare):
+        names = distinct.take(pa.array(rare)).cast(pa.large_binary()).to_pylist()
+        buckets = np.fromiter(map(zlib.crc32, names), np.int64, len(names)) % HASHED
+        ids[rare] = classes_of(vocabulary) * MEMBERS - HASHED + buckets
     return coded.dictionary, ids, coded.indices.to_numpy(), counts
 
 
@@ -127,20 +133,29 @@ def _soft(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _forward(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
-    """Hidden values, class probabilities, where classes start and member probabilities; words come by class."""
+def _logits(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
+    """Hidden values, logits of the classes, where classes start and logits of the members; words come by class."""
     hidden = np.repeat(w["shift"][None], len(ids), axis=0)
     for place, near in zip(w["place"], around):
         hidden += (w["embedding"] * place)[near]
     np.tanh(hidden, out=hidden)
-    classes = _soft(hidden @ w["classes"] + w["class_shift"])
+    classes = hidden @ w["classes"]
+    classes += w["class_shift"]
     stops = np.searchsorted(ids, np.arange(w["classes"].shape[1] + 1) * MEMBERS)
     members = np.empty((len(ids), MEMBERS), np.float32)
     for c in np.flatnonzero(np.diff(stops)):
         rows = slice(stops[c], stops[c + 1])
         np.matmul(hidden[rows], w["members"][c], out=members[rows])
         members[rows] += w["member_shift"][c]
-    return hidden, classes, stops, _soft(members)
+    return hidden, classes, stops, members
+
+
+def _log_chance(logits: np.ndarray, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Logarithms of the probabilities of one column in each row."""
+    np.minimum(logits, 60, out=logits)
+    own = logits[rows, of].astype(np.float64)
+    np.exp(logits, out=logits)
+    return np.log(np.exp(own) / logits.sum(axis=1) + 1e-30)
 
 
 def log_probabilities(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray) -> np.ndarray:
@@ -149,9 +164,9 @@ def log_probabilities(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndar
         own, near = ids[at:at + BATCH], around[:, at:at + BATCH]
         order = np.argsort(own, kind="stable")
         own = own[order]
-        _, classes, _, members = _forward(w, own, near[:, order])
+        _, classes, _, members = _logits(w, own, near[:, order])
         rows = np.arange(len(own))
-        out[at + order] = np.log(classes[rows, own // MEMBERS] + 1e-30) + np.log(members[rows, own % MEMBERS] + 1e-30)
+        out[at + order] = _log_chance(classes, rows, own // MEMBERS) + _log_chance(members, rows, own % MEMBERS)
     return out
 
 
@@ -160,30 +175,50 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
     order = np.argsort(ids, kind="stable")
     ids, around = ids[order], around[:, order]
     rows = np.arange(len(ids))
-    hidden, classes, stops, members = _forward(w, ids, around)
+    hidden, classes, stops, members = _logits(w, ids, around)
+    _soft(classes)
+    _soft(members)
     classes[rows, ids // MEMBERS] -= 1
     members[rows, ids % MEMBERS] -= 1
     back = classes @ w["classes"].T
-    grad = {"classes": hidden.T @ classes, "class_shift": classes.sum(axis=0)}
-    grad |= {name: np.zeros_like(w[name]) for name in ("members", "member_shift", "embedding", "place")}
-    for c in np.flatnonzero(np.diff(stops)):
+    met = np.flatnonzero(np.diff(stops))
+    grad = {"classes": hidden.T @ classes, "class_shift": classes.sum(axis=0), "place": np.empty_like(w["place"])}
+    in_class = np.empty((len(met), WIDTH, MEMBERS), np.float32)
+    for i, c in enumerate(met.tolist()):
         own = slice(stops[c], stops[c + 1])
-        grad["members"][c] = hidden[own].T @ members[own]
-        grad["member_shift"][c] = members[own].sum(axis=0)
+        np.matmul(hidden[own].T, members[own], out=in_class[i])
         back[own] += members[own] @ w["members"][c].T
     back -= back * hidden * hidden
     grad["shift"] = back.sum(axis=0)
+    embedding = np.zeros_like(w["embedding"])
+    seen = np.zeros(len(embedding), bool)
     for k, words in enumerate(around):
         near = np.argsort(words, kind="stable")
         words = words[near]
         first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
         found, sums = words[first], np.add.reduceat(back[near], first, axis=0)
-        grad["embedding"][found] += sums * w["place"][k]
+        embedding[found] += sums * w["place"][k]
         grad["place"][k] = (sums * w["embedding"][found]).sum(axis=0)
+        seen[found] = True
     for name, g in grad.items():
-        g /= len(ids)
-        state[name] += g * g
-        w[name] -= RATE * g / (np.sqrt(state[name]) + 1e-6)
+        w[name] -= _scaled_step(state[name], slice(None), g, len(ids))
+    # Only the classes and rows that the words met have gradients.
+    near = np.flatnonzero(seen)
+    w["embedding"][near] -= _scaled_step(state["embedding"], near, embedding[near], len(ids))
+    w["members"][met] -= _scaled_step(state["members"], met, in_class, len(ids))
+    shifts = np.add.reduceat(members, stops[met], axis=0)
+    w["member_shift"][met] -= _scaled_step(state["member_shift"], met, shifts, len(ids))
+
+
+def _scaled_step(state: np.ndarray, at, g: np.ndarray, n: int) -> np.ndarray:
+    g /= n
+    squares = state[at] + g * g
+    state[at] = squares
+    np.sqrt(squares, out=squares)
+    squares += 1e-6
+    g *= RATE
+    g /= squares
+    return g
 
 
 def _trained(docs: DataFrame, text: str, model: Model) -> dict[str, np.ndarray]:
@@ -194,7 +229,7 @@ def _trained(docs: DataFrame, text: str, model: Model) -> dict[str, np.ndarray]:
         w = {name: x.copy() for name, x in start.items()}
         state = {name: np.zeros_like(x) for name, x in w.items()}
         n = 0
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_BYTES):
             ids, around, _ = _contexts(batch.column(0), vocabulary)
             for at in range(0, len(ids), BATCH):
                 _step(w, state, ids[at:at + BATCH], around[:, at:at + BATCH])
@@ -246,7 +281,7 @@ def _scored_chunks(rows: DataFrame, vocabulary: dict[str, int], weights: dict[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(gathered(batches, CHUNK_BYTES)):
             words, ids, coded, counts = _coded(batch.column("text"), vocabulary)
             own = ids.astype(np.uint16 if size < 1 << 16 else np.int32)[coded]
             before = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, own, _around(own, counts, size)))])

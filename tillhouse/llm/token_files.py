@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tillhouse.llm.blocks import gathered
 from tillhouse.llm.common import shuffle_partitions
 from tillhouse.llm.files import id_bytes, open_input, range_bounds, shard_of, whole_file
 from tillhouse.session import new_folder, staged
@@ -45,6 +46,8 @@ TRAILER = "<QQQII8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 NONE = np.zeros(0, np.int64)
 WORD_END = "</w>"  # what the last token of a word ends with
+CHUNK_BYTES = 16 << 20  # of text that is encoded together
+SENT_BYTES = 4 << 20  # of ids that go back together, about
 KNOWN_WORDS = 400_000  # words whose ids a task keeps; beyond that it starts afresh
 
 
@@ -94,7 +97,12 @@ class WordTable:
 
     def _learn(self, new: list[str]) -> None:
         """Words of letters alone end with the one token that ends a word, so many of them are encoded as one text."""
-        plain = [w for w in new if _letters(w)]
+        words = pa.array(new, pa.string())
+        ascii_words = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & ascii_words
+        for i in np.flatnonzero(~ascii_words).tolist():
+            letters[i] = _letters(new[i])
+        plain = [w for w, yes in zip(new, letters.tolist()) if yes]
         for at in range(0, len(plain), 20_000):
             some = plain[at:at + 20_000]
             ids = np.array(self._encoded([" ".join(some)])[0], np.uint32)
@@ -103,7 +111,7 @@ class WordTable:
                 self._keep(some, np.diff(ends, prepend=0), ids)
             else:  # another kind of tokenizer
                 self._keep_each(some)
-        others = [w for w in new if not _letters(w)]
+        others = [w for w, yes in zip(new, letters.tolist()) if not yes]
         for at in range(0, len(others), 5_000):
             self._keep_each(others[at:at + 5_000])
 
@@ -125,19 +133,29 @@ class WordTable:
         """
         plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<")))
         words = pc.if_else(plain, pc.ascii_lower(distinct), distinct)
-        cores = pc.utf8_rtrim(words, characters=".,")
-        apart = pc.and_(pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u00ff]$"), pc.match_substring_regex(words, "[.,]$"))
-        tails = pc.if_else(apart, pc.replace_substring_regex(pc.if_else(apart, words, ""), "^.*[^.,]", ""), "")
-        core, tail = pc.if_else(apart, cores, words).dictionary_encode(), tails.dictionary_encode()
+        stopped = pc.or_(pc.ends_with(words, "."), pc.ends_with(words, ","))
+        ends = words.filter(stopped)
+        cores = pc.utf8_rtrim(ends, characters=".,")
+        apart = pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u00ff]$")
+        words = pc.replace_with_mask(words, stopped, pc.if_else(apart, cores, ends))
+        tails = pc.if_else(apart, pc.replace_substring_regex(ends, "^.*[^.,]", ""), "")
         if len(self.place) > KNOWN_WORDS:
             self._clear()
-        out = []
-        for part in (core, tail):
-            names = part.dictionary.to_pylist()
-            self._learn([w for w in names if w not in self.place])
-            places = np.fromiter(map(self.place.__getitem__, names), np.int32, len(names))
-            out.append(places[part.indices.to_numpy()])
-        return out[0], out[1]
+        tail = np.full(len(words), self._found([""])[0], np.int32)
+        for part, at in ((tails, stopped.to_numpy(zero_copy_only=False)), (words, slice(None))):
+            coded = part.dictionary_encode()
+            places = self._found(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            if part is tails:
+                tail[at] = places
+        return places, tail
+
+    def _found(self, names: list[str]) -> np.ndarray:
+        """Places of words in the table, which learns those that are new."""
+        known = self.place
+        new = [w for w in names if w not in known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(known.__getitem__, names), np.int32, len(names))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and the place where each text's ids start, with one more for the end."""
@@ -152,8 +170,9 @@ class WordTable:
         first = np.cumsum(length) - length
         counts = length[both]
         ends = np.concatenate([[0], np.cumsum(counts)])
-        at = np.repeat(first[both] - ends[:-1], counts)
-        at += np.arange(ends[-1])
+        kind = np.int32 if ends[-1] < 1 << 31 and len(self.ids[0]) < 1 << 31 else np.int64
+        at = np.repeat((first[both] - ends[:-1]).astype(kind), counts)
+        at += np.arange(ends[-1], dtype=kind)
         ids = self.ids[0][at]
         starts = ends[2 * offsets]
         if self.end_id is None:
@@ -167,12 +186,16 @@ def encoded(docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, end_id
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(tokenizer_path, end_id)
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_BYTES):
             ids, starts = table.encode(batch.column(1))
             data = pa.py_buffer(ids.astype(kind).tobytes())
-            offsets = pa.py_buffer((starts * kind.itemsize).astype(np.int32).tobytes())
-            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, data])
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "ids"])
+            offsets = starts * kind.itemsize
+            step = max(1, batch.num_rows // (1 + int(offsets[-1]) // SENT_BYTES))
+            for at in range(0, batch.num_rows, step):  # back in pieces that a JVM task holds easily
+                part = offsets[at:at + step + 1]
+                own = data.slice(int(part[0]), int(part[-1] - part[0]))
+                packed = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer((part - part[0]).astype(np.int32).tobytes()), own])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, step), packed], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, "doc_id bigint, ids binary")
