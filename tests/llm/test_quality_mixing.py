@@ -99,3 +99,31 @@ def test_buckets_cut_like_one_sorted_source(spark, monkeypatch):
     whole = {r.doc_id: r.copies for r in mixing.mix(rows).collect()}
     monkeypatch.setattr(mixing, "BUCKET_DOCS", 50)
     assert {r.doc_id: r.copies for r in mixing.mix(rows).collect()} == whole
+
+
+def test_repeated_ids_are_drawn_one_by_one(spark):
+    """A third of a source under one id, or under none: its target is met all the same."""
+    for repeated in (7, None):
+        ids = [repeated if k % 3 == 0 else 10_000 + k for k in range(6000)]
+        rows = _rows(spark, [(i, " ".join(["word"] * 100), "a") for i in ids] + [(k, " ".join(["w"] * 50), "b") for k in range(20_000, 26_000)])
+        for layout in (rows.repartition(1), rows.repartition(9)):
+            got = mixing.mix(layout, weights=(1.25, 1.75)).collect()
+            assert len(got) == 12_000
+            for source in "ab":
+                own = [r for r in got if r.source == source]
+                assert abs(sum(r.taken for r in own) - own[0].target) <= 100
+            taken = sorted(r.taken for r in got if r.doc_id == repeated)
+            assert repeated is None or (taken[0], taken[-1]) == (100, 200) or taken[0] == 0 and taken[-1] == 100
+        assert sorted(map(str, got)) == sorted(map(str, mixing.mix(rows.repartition(4), weights=(1.25, 1.75)).collect()))
+
+
+def test_boilerplate_of_a_hot_host(spark):
+    """Documents that are little but a line of 60 documents go, also in a host of thousands."""
+    footer = "All of this is ours and you may not copy it without our leave"
+    rows = [(k, _own(k), "hot") for k in range(3000)] + [(5000 + k, f"{footer}\n{footer}\nnumber word{k}", "hot") for k in range(60)]
+    rows += [(6000 + k, f"{_own(6000 + k)}\n{footer}", "hot") for k in range(5)] + [(7000, "word " + footer + " and " * 9, "other"), (8000, _own(1) * 4000, "long")]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(_rows(spark, rows)).collect()}
+    base = {r.doc_id: r.base_failed for r in quality.quality_rules(_rows(spark, rows)).collect()}
+    assert not any(got[5000 + k] for k in range(60)) and all(got[k] for k in range(3000)) and all(got[6000 + k] for k in range(5))
+    assert sorted(r.doc_id for r in quality.keep_good(_rows(spark, rows)).collect()) == sorted(k for k, v in got.items() if v)
+    assert base[8000] and not got[8000]

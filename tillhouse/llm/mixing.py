@@ -11,14 +11,17 @@ No source is sorted as a whole, so a hot one is no problem: keys fall into bucke
 sums give the prefix up to each bucket, and only the bucket in which a source reaches its rest is sorted. Its outcome is
 a cut-off for each source, which the documents are compared with where they are. Only built-in functions are used.
 
-Defined results: the draw depends on seed and doc_id alone, so reruns agree; a NULL text has size 0; a NULL source is a
-source of its own, last in order; rows that repeat a doc_id in a source with equal weights stand or fall together; an
-empty table gives an empty result; other columns are ignored by ``mix`` and kept by ``mixed_rows``.
+Defined results: the draw depends on seed, doc_id and the number of equal rows alone, so reruns agree; a NULL text has size 0; a NULL source is a
+source of its own, last in order; rows that repeat a doc_id in a source with equal weights are drawn one by one, each
+with a number of its own in the draw; an empty table gives an empty result; other columns are ignored by ``mix`` and kept by
+``mixed_rows``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,7 @@ WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 BUDGET = 1.5
 MAX_EPOCHS = 2
 BUCKET_DOCS = 4096
+BLOCK_BITS = 12  # of the places that are numbered together
 SEED = "mix-1"
 
 
@@ -41,12 +45,35 @@ def letter_share(text: Column) -> Column:
     return F.greatest(F.lit(0.05), letters / F.greatest(F.length(t), F.lit(1)))
 
 
-def exponential_key(doc_id: Column, weight: Column, seed: str) -> Column:
-    digits = F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
-    uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
+def exponential_key(doc_id: Column, copy: Column, weight: Column, seed: str) -> Column:
+    name = F.concat(F.lit(seed + "|"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    name = F.when(copy > 0, F.concat(name, F.lit("|"), copy.cast("string"))).otherwise(name)
+    uniform = (F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
     return -F.log(uniform) / weight
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (source, doc_id, weight, place and more) with copy: 0, 1, ... among rows alike in the first three.
+
+    ``rows`` must be a table, and ``place`` tell its rows apart. Only rows that have others alike are numbered: in blocks
+    of neighbouring places, after the counts of the blocks before, so that no task sorts all copies of a row.
+    """
+    alike = ["source", "doc_id", "weight"]
+    repeated = staged(rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(
+        *[F.col(c).alias(f"_{c}") for c in alike]), "mix-repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("bigint"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in alike])
+    inside = rows.select(*alike, "place").join(repeated, same, "left_semi").withColumn("block", F.shiftright("place", BLOCK_BITS))
+    counts = inside.groupBy(*alike, "block").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(W.partitionBy(*alike).orderBy("block")) - F.col("n")
+    before = counts.select(*[F.col(c).alias(f"_{c}") for c in alike], F.col("block").alias("_block"), earlier.alias("earlier"))
+    own = W.partitionBy(*alike, "block").orderBy("place")
+    copies = inside.withColumn("nth", F.row_number().over(own) - 1).join(before, same & (F.col("block") == F.col("_block"))).select(
+        F.col("place").alias("_place"), (F.col("nth") + F.col("earlier")).cast("bigint").alias("copy")).filter("copy > 0")
+    return rows.join(copies, F.col("place") == F.col("_place"), "left").drop("_place").withColumn("copy", F.coalesce("copy", F.lit(0)))
+
+
 def targets(sizes: DataFrame, weights: Sequence[float], budget: float, max_epochs: int) -> DataFrame:
     """Adds rank, epochs, rest and target to ``sizes`` (source, source_size, n_docs), one row for each source."""
     by_name = W.orderBy(F.col("source").asc_nulls_last())
@@ -110,6 +137,11 @@ def _copies(rows: DataFrame, weights: Sequence[float], budget: float, max_epochs
     return planned(rows, with_cut).withColumn("copies", (F.col("epochs") + more).cast("bigint"))
 
 
+def _keyed(rows: DataFrame, seed: str) -> DataFrame:
+    key = exponential_key(F.col("doc_id"), F.col("copy"), F.col("weight"), seed)
+    return numbered(rows).withColumn("key", key).drop("weight", "copy", "place")
+
+
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
@@ -122,8 +154,9 @@ def mix(
     weight = letter_share(F.col(text)) if quality is None else quality
     rows = staged(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
-        exponential_key(F.col(doc_id), weight, seed).alias("key"),
+        weight.alias("weight"), F.monotonically_increasing_id().alias("place"),
     ), "mix")
+    rows = _keyed(rows, seed)
     return _copies(rows, weights, budget, max_epochs).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -133,13 +166,14 @@ def mixed_rows(
     weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
     quality: Column | None = None,
 ) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them. ``docs`` is read more than once, so it should be a table."""
+    """The rows of ``docs`` as often as the mix takes them."""
     weight = letter_share(F.col(text)) if quality is None else quality
     whole = fresh(docs, "_row")
-    rows = docs.select(
+    rows = staged(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole),
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
-        exponential_key(F.col(doc_id), weight, seed).alias("key"),
-    )
+        weight.alias("weight"), F.monotonically_increasing_id().alias("place"),
+    ), "mix")
+    rows = _keyed(rows, seed)
     taken = _copies(rows, weights, budget, max_epochs).filter("copies > 0")
     return taken.select(whole, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(f"{whole}.*")

@@ -1,8 +1,8 @@
 """Quality rules: figures of each text, and lines that too many documents of a host repeat.
 
 Lines are compared in a normal form (lower case, digits as zero, single spaces) by a hash that covers the host too.
-A line is boilerplate of its host when more than ``max_share`` of the host's documents, and at least ``min_docs`` of
-them, hold it. Documents with equal texts count once, so a document isn't rejected for having copies: removing these is
+A line is boilerplate of its host when at least ``min_docs`` of the host's documents hold it, and either more than
+``max_share`` of them do or more than ``max_docs``, which is what counts in a large host. Documents with equal texts count once, so a document isn't rejected for having copies: removing these is
 the work of the near-duplicate operators. Boilerplate lines are removed, and a document with too few words left is
 rejected.
 
@@ -27,6 +27,7 @@ MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent of the words
 MIN_DOCS = 20
 MAX_SHARE = 0.1
+MAX_DOCS = 50
 MIN_LEFT = 0.3
 SYMBOLS = "#*$%&|<>"
 
@@ -95,13 +96,13 @@ def host_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
         "host", "row_key", "pos", line_key(F.col("host"), F.col("line")).alias("line"), word_count(F.col("line")).alias("n")), "lines")
 
 
-def boilerplate(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def boilerplate(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
     """The rows of ``lines`` that are boilerplate of their host; ``hosts`` has host and row_key of all documents."""
     sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.countDistinct("row_key").alias("host_docs"))
     common = (
         lines.groupBy("line", "host").agg(F.countDistinct("row_key").alias("docs"))
         .join(sizes, F.col("host").eqNullSafe(F.col("of")))
-        .filter((F.col("docs") >= min_docs) & (F.col("docs") > max_share * F.col("host_docs")))
+        .filter((F.col("docs") >= min_docs) & (F.col("docs") > F.least(max_share * F.col("host_docs"), F.lit(float(max_docs)))))
         .select("line")
     )
     return lines.join(common, "line", "left_semi")
@@ -120,10 +121,10 @@ def _rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     return rows.withColumn("_key", row_key(F.col("host"), F.col("text")))
 
 
-def _bad_lines(docs: DataFrame, text: str, host: str, min_docs: int, max_share: float) -> tuple[DataFrame, DataFrame]:
+def _bad_lines(docs: DataFrame, text: str, host: str, min_docs: int, max_share: float, max_docs: int) -> tuple[DataFrame, DataFrame]:
     hosts = docs.select(F.col(host).cast("string").alias("host"), row_key(F.col(host).cast("string"), F.col(text)).alias("row_key"))
     lines = host_lines(docs, text, host)
-    return lines, boilerplate(lines, hosts, min_docs, max_share)
+    return lines, boilerplate(lines, hosts, min_docs, max_share, max_docs)
 
 
 def _line_words(lines: DataFrame, name: str) -> DataFrame:
@@ -137,10 +138,10 @@ def _failed() -> Column:
 
 def quality_rules(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, the metrics, base_failed, words_left, kept."""
-    _, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    _, bad = _bad_lines(docs, text, host, min_docs, max_share, max_docs)
     removed = _line_words(bad, "removed")
     rows = _rows(docs, doc_id, text, host).select("doc_id", "_key", text_metrics(F.col("text")).alias("m"))
     figures = rows.select("doc_id", "_key", "m.*")
@@ -155,7 +156,7 @@ def quality_rules(
 
 def keep_good(
     docs: DataFrame, text: str = "text", host: str = "source",
-    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns and whole texts.
 
@@ -166,7 +167,7 @@ def keep_good(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole),
         F.col(host).cast("string").alias("host"), F.col(text).alias("text"),
     ).withColumn("_key", row_key(F.col("host"), F.col("text")))
-    lines, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    lines, bad = _bad_lines(docs, text, host, min_docs, max_share, max_docs)
     removed = _line_words(bad, "removed")
     totals = _line_words(lines.join(removed, "row_key", "left_semi"), "n_words")
     depleted = removed.join(totals, "row_key").filter(F.col("n_words") - F.col("removed") < min_left * F.col("n_words"))
@@ -177,10 +178,10 @@ def keep_good(
 
 def without_boilerplate(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """doc_id and clean_text: the text without boilerplate lines, the text itself where it has none."""
-    _, bad = _bad_lines(docs, text, host, min_docs, max_share)
+    _, bad = _bad_lines(docs, text, host, min_docs, max_share, max_docs)
     bad = bad.groupBy("row_key").agg(F.collect_set("line").alias("bad_lines"))
     good = F.filter(_lines(F.col("text")), lambda x: ~(_has_word(x) & F.array_contains("bad_lines", line_key(F.col("host"), x))))
     rows = _rows(docs, doc_id, text, host).join(bad, F.col("_key") == F.col("row_key"), "left")

@@ -13,7 +13,7 @@ norm AS (SELECT r, host, text, line, lower(trim(regexp_replace(regexp_replace(li
          FROM lines),
 hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
 common AS (SELECT c.host, c.l FROM (SELECT host, l, count(DISTINCT text) AS n FROM norm WHERE l <> '' GROUP BY host, l) c
-           JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host WHERE c.n >= 20 AND c.n > 0.1 * h.n),
+           JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host WHERE c.n >= 20 AND c.n > least(0.1 * h.n, 50)),
 remain AS (SELECT n.r, sum(len(regexp_extract_all(n.line, '[^\x20\x09-\x0D]+'))) AS n FROM norm n
            LEFT JOIN common c ON n.host IS NOT DISTINCT FROM c.host AND n.l = c.l WHERE c.l IS NULL GROUP BY n.r),
 m AS (SELECT d.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
@@ -31,8 +31,10 @@ WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
          greatest(0.05, length(regexp_replace(coalesce(text, ''), '[^\p{L}]+', '', 'g')) / greatest(length(coalesce(text, '')), 1)) AS weight
   FROM documents),
-k AS (SELECT *, -ln((CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
-                    / CAST(4503599627370496 AS DOUBLE)) / weight AS key FROM d),
+c AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, weight) - 1 AS copy FROM d),
+k AS (SELECT *, -ln((CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')
+                                             || CASE WHEN copy > 0 THEN '|' || copy ELSE '' END), 1, 13) AS BIGINT) + 0.5)
+                    / CAST(4503599627370496 AS DOUBLE)) / weight AS key FROM c),
 s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS n, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
 sw AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(rank - 1) % 3 + 1] AS w, 2 * n AS cap FROM s),
 lv AS (SELECT *, (1.5::DOUBLE * sum(n) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
