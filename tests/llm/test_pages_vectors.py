@@ -249,3 +249,25 @@ def test_unmarked_pages(number):
     page = f"<html><body><ul>{menu}</ul><div>{middle}</div><div><a>more of this</a> <a>and of that</a></div><p>Copyright © {number}</body>"
     want = [x for pair in zip(body, [*short, ""]) for x in pair if x]
     assert html.main_text(page) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("shape", ["0.3", "1", "wide clusters", "tight clusters"])
+def test_recall_where_vectors_differ_in_length(shape):
+    """One graph against brute force."""
+    draw = np.random.default_rng(4)
+    n, size = 3000, 64
+    x = draw.normal(size=(n, size))
+    if shape == "wide clusters":
+        x += 2 * draw.normal(size=(8, size))[draw.integers(0, 8, n)]
+    elif shape == "tight clusters":
+        x = 0.2 * x + draw.normal(size=(200, size))[draw.integers(0, 200, n)]
+    else:
+        x *= np.exp(float(shape) * draw.normal(size=(n, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    level = ann._level(x)
+    edges, entries = ann.build_graph(level)
+    queries = np.arange(0, n, 20)
+    found, _ = ann.beam_search(level.astype(np.float32), edges, entries, np.column_stack([x[queries], np.zeros(len(queries))]).astype(np.float32), ann.QUERY_BEAM)
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len(set(f[:42].tolist()) & set(b.tolist())) / 20 for f, b in zip(found, best)]) >= 0.9

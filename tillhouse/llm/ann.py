@@ -33,7 +33,8 @@ from tillhouse.session import staged
 K = 20
 SHARD_ROWS = 8192
 QUERY_BLOCK = 4096
-DEGREE = 32
+DEGREE = 32  # edges by distance
+AHEAD = 16  # and by inner product
 BUILD_BEAM = 64
 QUERY_BEAM = 128
 EXPAND = 4  # nodes of a beam expanded in a step
@@ -115,6 +116,7 @@ def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray) ->
     vectors, squares = np.take_along_axis(vectors, order[:, :, None], 1), np.take_along_axis(squares, order, 1)
     between = np.maximum(squares[:, :, None] + squares[:, None] - 2 * np.matmul(vectors, vectors.transpose(0, 2, 1)), 0)
     alive = np.isfinite(distance)
+    left = alive & np.concatenate([np.ones((len(of), 1), bool), candidates[:, 1:] != candidates[:, :-1]], axis=1)
     kept = np.full((len(of), DEGREE), -1)
     rows = np.arange(len(of))
     for k in range(DEGREE):
@@ -125,11 +127,30 @@ def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray) ->
         kept[:, k] = np.where(some, candidates[rows, pick], -1)
         alive &= ALPHA**2 * between[rows, pick] > distance
         alive &= candidates != kept[:, k:k + 1]
-    return kept
+        left &= candidates != kept[:, k:k + 1]
+    # Places that are still free go to the nearest of the others.
+    order = np.argsort(~left, axis=1, kind="stable")[:, :DEGREE]
+    spare = np.where(np.take_along_axis(left, order, 1), np.take_along_axis(candidates, order, 1), -1)
+    used = (kept >= 0).sum(axis=1)
+    at = np.arange(DEGREE) - used[:, None]
+    return np.where(at < 0, kept, np.take_along_axis(spare, np.clip(at, 0, spare.shape[1] - 1), 1))
+
+
+def best_products(points: np.ndarray, of: np.ndarray, candidates: np.ndarray, width: int) -> np.ndarray:
+    """For each node its ``width`` candidates with the greatest inner products (-1: none): where vectors differ in length,
+    long ones, which distances keep out of the graph."""
+    candidates = np.sort(candidates, axis=1)
+    ok = (candidates >= 0) & (candidates != of[:, None])
+    ok[:, 1:] &= candidates[:, 1:] != candidates[:, :-1]
+    products = np.matmul(points[np.maximum(candidates, 0), :-1], points[of, :-1][:, :, None])[:, :, 0]
+    products[~ok] = -np.inf
+    order = np.argsort(-products, axis=1, kind="stable")[:, :width]
+    found = np.where(np.isfinite(np.take_along_axis(products, order, 1)), np.take_along_axis(candidates, order, 1), -1)
+    return np.pad(found, ((0, 0), (0, width - found.shape[1])), constant_values=-1)
 
 
-def _link_back(points: np.ndarray, edges: np.ndarray, new: np.ndarray) -> None:
-    """Edges from the neighbours of ``new`` nodes back to them."""
+def _link_back(edges: np.ndarray, new: np.ndarray, keep) -> None:
+    """Edges from the neighbours of ``new`` nodes back to them, as far as ``keep`` chooses them."""
     source = np.repeat(new, edges.shape[1])
     target = edges[new].ravel()
     source, target = source[target >= 0], target[target >= 0]
@@ -143,7 +164,7 @@ def _link_back(points: np.ndarray, edges: np.ndarray, new: np.ndarray) -> None:
         incoming = np.where(np.arange(width) < count[some][:, None], source[np.minimum(at, len(source) - 1)], -1)
         for part in np.array_split(np.arange(len(some)), 1 + len(some) * (width + DEGREE) ** 2 // 8_000_000):
             own = nodes[some[part]]
-            edges[own] = robust_prune(points, own, np.concatenate([edges[own], incoming[part]], axis=1))
+            edges[own] = keep(own, np.concatenate([edges[own], incoming[part]], axis=1))
 
 
 def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -151,16 +172,27 @@ def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarr
     n = len(points)
     order = _order(points, seed)
     nearness = np.column_stack([points, -(points**2).sum(axis=1) / 2])  # the greatest product with (x, 1) is nearest to x
-    edges = np.full((n, DEGREE), -1)
+    edges = np.full((n, DEGREE + AHEAD), -1)
+    near, ahead = edges[:, :DEGREE], edges[:, DEGREE:]
+
+    def by_distance(of: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+        return robust_prune(points, of, candidates)
+
+    def by_product(of: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+        known = (candidates[:, :, None] == near[of][:, None]).any(axis=2)
+        return best_products(points, of, np.where(known, -1, candidates), AHEAD)
+
     first = order[:DEGREE + 1]
-    edges[first] = robust_prune(points, first, np.broadcast_to(first, (len(first), len(first))).copy())
+    near[first] = by_distance(first, np.broadcast_to(first, (len(first), len(first))).copy())
     entries = order[:ENTRIES]
     at = len(first)
     while at < n:
         some = order[at:at + min(BATCH, at)]
         found, _ = beam_search(nearness, edges, entries, np.column_stack([points[some], np.ones(len(some))]), BUILD_BEAM)
-        edges[some] = robust_prune(points, some, found)
-        _link_back(points, edges, some)
+        longer, _ = beam_search(points, edges, entries, np.column_stack([points[some, :-1], np.zeros(len(some))]), BUILD_BEAM)
+        near[some], ahead[some] = by_distance(some, found), by_product(some, np.concatenate([longer, found], axis=1))
+        _link_back(near, some, by_distance)
+        _link_back(ahead, some, by_product)
         at += len(some)
     return edges, entries
 
@@ -222,7 +254,7 @@ def _nearest(nodes: pa.StructArray, asked: pa.StructArray, edges: bytes, k: int)
     query_ids, queries = asked.field("vec_id").to_numpy(), _vectors(asked.field("vector"))
     level = _level(vectors)
     entries, points = _order(level)[:ENTRIES], level.astype(np.float32)
-    graph = np.frombuffer(edges, "<i4").reshape(len(points), DEGREE).astype(np.int64)
+    graph = np.frombuffer(edges, "<i4").reshape(len(points), DEGREE + AHEAD).astype(np.int64)
     id_ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
     all_ids = ids.flatten().to_numpy()
     out: list[list[np.ndarray]] = [[], [], []]
