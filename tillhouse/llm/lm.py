@@ -40,7 +40,7 @@ SIDE = 2  # words on either side
 WIDTH = 32
 ROUNDS = 1
 RATE = 0.1
-BATCH = 4096
+BATCH = 8192
 SEED = 11
 
 CHUNK_BYTES = 12 << 20  # of text whose distinct words are looked up together
@@ -196,7 +196,9 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
         near = np.argsort(words, kind="stable")
         words = words[near]
         first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        found, sums = words[first], np.add.reduceat(back[near], first, axis=0)
+        # Sums of runs as differences of running sums, which are faster than reduceat on rows this short.
+        running = np.cumsum(back[near], axis=0, dtype=np.float64)[np.append(first[1:], len(words)) - 1]
+        found, sums = words[first], np.diff(running, axis=0, prepend=0).astype(np.float32)
         embedding[found] += sums * w["place"][k]
         grad["place"][k] = (sums * w["embedding"][found]).sum(axis=0)
         seen[found] = True

@@ -46,8 +46,8 @@ TRAILER = "<QQQII8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 NONE = np.zeros(0, np.int64)
 WORD_END = "</w>"  # what the last token of a word ends with
-CHUNK_BYTES = 16 << 20  # of text that is encoded together
-SENT_BYTES = 4 << 20  # of ids that go back together, about
+CHUNK_BYTES = 8 << 20  # of text that is encoded together
+SENT_BYTES = 2 << 20  # of ids that go back together, about
 KNOWN_WORDS = 400_000  # words whose ids a task keeps; beyond that it starts afresh
 
 
@@ -196,6 +196,8 @@ def encoded(docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, end_id
                 own = data.slice(int(part[0]), int(part[-1] - part[0]))
                 packed = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer((part - part[0]).astype(np.int32).tobytes()), own])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, step), packed], names=["doc_id", "ids"])
+            del ids, data, own, packed
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, "doc_id bigint, ids binary")
