@@ -2,9 +2,10 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from tillhouse.plans import training
+from tillhouse.plans import batches, boosting, training
 
 
 def test_numbers(spark):
@@ -44,3 +45,73 @@ def test_train_save_score(spark, folder):
     assert row["error"] < 0.05 and row["logloss"] < 0.3
     labels = scored.select(training.predicted_label(F.col("score")).alias("label"))
     assert {r["label"] for r in labels.distinct().collect()} == {0, 1}
+
+
+def _noisy(spark, n=900):
+    return spark.range(n).select(
+        F.rand(3).alias("a"), F.when(F.col("id") % 40 != 0, F.randn(4)).alias("b"),
+    ).withColumn("target", (F.col("a") + 0.2 * F.coalesce("b", F.lit(0.0)) > 0.5).cast("int"))
+
+
+def _trees(model):
+    return [s.toDebugString.split("\n", 1)[1] for s in model.stages if hasattr(s, "toDebugString")]
+
+
+def test_boosting_resumes_where_it_stopped(spark, folder):
+    data = _noisy(spark)
+    whole, stopped = folder("whole"), folder("stopped")
+    unbroken = boosting.fit_in_stages(data, whole, scale=["a"], rounds=5, every=2)
+    assert boosting.fit_in_stages(data, stopped, scale=["a"], rounds=5, every=2, stop_after=1) is None
+    assert boosting.rounds_kept(spark, stopped) == [2]
+    resumed = boosting.fit_in_stages(data.repartition(5), stopped, scale=["a"], rounds=5, every=2)
+    assert len(_trees(unbroken)) == 5 and _trees(unbroken) == _trees(resumed)
+    assert boosting.rounds_kept(spark, stopped) == boosting.rounds_kept(spark, whole) == [5]
+    row = training.metrics(boosting.score(resumed, data)).first()
+    assert row["error"] < 0.1
+    before = training.metrics(training.score(training.fit_model(data, scale=["a"], rounds=5), data)).first()
+    assert abs(row["logloss"] - before["logloss"]) < 0.02  # as the library's own boosting
+    more = boosting.fit_in_stages(data, stopped, scale=["a"], rounds=6, every=2)  # goes on from a finished run
+    assert _trees(more)[:5] == _trees(unbroken) and len(_trees(more)) == 6
+
+
+def test_boosting_refuses_rounds_of_another_run(spark, folder):
+    data, path = _noisy(spark, 200), folder("run")
+    boosting.fit_in_stages(data, path, rounds=1)
+    with pytest.raises(ValueError, match="other settings or rows"):
+        boosting.fit_in_stages(data, path, rounds=2, seed=8)
+    with pytest.raises(ValueError, match="other settings or rows"):
+        boosting.fit_in_stages(data.where("a < 0.9"), path, rounds=2)
+
+
+def test_functions_on_batches(spark):
+    import pyarrow as pa
+
+    rows, set_up = spark.range(100, numPartitions=4), spark.sparkContext.accumulator(0)
+
+    def setup():
+        set_up.add(1)
+        return {"seen": 0}
+
+    def number(batch, state):
+        state["seen"] += batch.num_rows
+        return pa.RecordBatch.from_pydict({"rows": pa.array([batch.num_rows]), "seen": pa.array([state["seen"]])})
+
+    result = batches.map_batches(rows, number, "rows bigint, seen bigint", setup, batch_rows=10).collect()
+    assert sorted(r.rows for r in result) == [5] * 4 + [10] * 8 and sorted(r.seen for r in result) == sorted([10, 20, 25] * 4)
+    assert set_up.value == 4
+    doubled = batches.map_batches(rows, lambda b: pa.RecordBatch.from_arrays([pa.compute.multiply(b.column(0), 2)], names=["id"]), "id bigint")
+    assert sorted(r.id for r in doubled.collect()) == list(range(0, 200, 2))
+    assert batches.map_batches(spark.range(0), number, "rows bigint, seen bigint", setup).collect() == []
+
+
+def test_kept_model_scores_batches(spark, folder):
+    data, path, set_up = _noisy(spark), folder("model"), spark.sparkContext.accumulator(0)
+    training.save_model(training.fit_model(data, scale=["a"], rounds=4), path)
+    rows = data.drop("target").withColumn("key", F.monotonically_increasing_id()).repartition(3).cache()
+    mine = batches.score_batches(spark, path, rows, lambda: set_up.add(1))
+    assert mine.columns == [*rows.columns, "score"]
+    found = {r.key: r.score for r in mine.collect()}
+    assert set_up.value == 3
+    expected = {r.key: r.score for r in training.score(training.load_model(path), rows).collect()}
+    assert found.keys() == expected.keys()
+    assert max(abs(found[k] - expected[k]) for k in found) < 1e-12

@@ -9,8 +9,10 @@
     spark-submit -m tillhouse.jobs ingest-items --arriving /lake/item_changes --log /lake/item_log --checkpoint /lake/checkpoints/items
     spark-submit -m tillhouse.jobs fold-items --items /lake/bronze/retail_item_master --log /lake/item_log --table /lake/items
     spark-submit -m tillhouse.jobs monitor --arriving /lake/arriving --stores /lake/bronze/retail_stores --counts /lake/activity --checkpoint /lake/checkpoints/activity
+    spark-submit -m tillhouse.jobs append-unique --arriving /lake/new_scans --table /lake/bronze/retail_scans --filter /lake/scan_keys
 
-``rollups`` reads batches of the scan log before ``compact`` drops them.
+``append-unique`` stores the scans of a table whose ids are new, shows the others, and keeps a filter of the ids of each day
+(``--refresh`` makes it anew first). ``rollups`` reads batches of the scan log before ``compact`` drops them.
 
 Every job takes its date as an argument, so a day can be run again; without
 one, a silver run takes yesterday and the others today, in the report zone.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.functions.temporal import today_in_zone, with_scan_time
+from tillhouse.operators import keys
 from tillhouse.operators.versions import current_scans, latest_per_key
 from tillhouse.plans import dashboard, inventory, rollups, silver
 from tillhouse.session import configure
@@ -142,6 +145,21 @@ def run_monitor(spark: SparkSession, args: argparse.Namespace) -> None:
     monitor.fold_minute_counts(spark, f"{args.counts}/log", f"{args.counts}/minutes")
 
 
+def run_append_unique(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Append arriving scans with new ids to a table by day, and show those that repeat."""
+    key, day = ingest.SCAN_KEY, ["scan_datestamp"]
+    arriving = read_table(spark, args.arriving, args.source)
+    if "scan_datestamp" not in arriving.columns:
+        arriving = ingest.with_scan_day(arriving)
+    if table_exists(spark, args.table):
+        table = read_table(spark, args.table, args.source)
+        if args.refresh or not table_exists(spark, args.filter):
+            keys.refresh_key_filter(table, args.filter, key, day)
+    else:
+        table = spark.createDataFrame([], arriving.schema)
+    keys.append_unique(arriving, table, args.table, args.filter, key, day).show(truncate=False)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tillhouse.jobs")
     jobs = top.add_subparsers(required=True)
@@ -160,6 +178,7 @@ def parser() -> argparse.ArgumentParser:
     job("dashboard", run_dashboard, "bronze")
     job("ingest", run_ingest, "arriving", "log", "checkpoint")
     job("compact", run_compact, "log", "table")
+    job("append-unique", run_append_unique, "arriving", "table", "filter").add_argument("--refresh", action="store_true")
     job("rollups", run_rollups, "bronze", "silver", "log")
     job("ingest-items", run_ingest_items, "arriving", "log", "checkpoint")
     job("fold-items", run_fold_items, "items", "log", "table").add_argument("--keep-tombstones", type=int)

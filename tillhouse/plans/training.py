@@ -49,6 +49,20 @@ def _standard(column: Column, row: dict, name: str) -> Column:
     return (column - F.lit(row[f"{name}_mean"])) / F.lit(row[f"{name}_std"] or 1.0)
 
 
+def preparation(row: dict, features: Sequence[str], scale: Sequence[str] = ()) -> tuple[SQLTransformer, VectorAssembler]:
+    """Missing-value fill and scaling by the statistics of ``scaler_stats``, and the vector of the results."""
+    prepared = []
+    for c in features:
+        mean = float(row[f"{c}_mean"] if row[f"{c}_mean"] is not None else 0.0)
+        filled = f"coalesce(cast(`{c}` as double), double('{mean!r}'))"
+        if c in scale:
+            deviation = float(row[f"{c}_std"] or 1.0)
+            filled = f"({filled} - double('{mean!r}')) / double('{deviation!r}')"
+        prepared.append(f"{filled} AS `_in_{c}`")
+    prepare = SQLTransformer(statement=f"SELECT *, {', '.join(prepared)} FROM __THIS__")
+    return prepare, VectorAssembler(inputCols=[f"_in_{c}" for c in features], outputCol="features")
+
+
 def fit_model(
     train: DataFrame,
     target: str = "target",
@@ -65,17 +79,7 @@ def fit_model(
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     features = [c for c in train.columns if c != target]
-    row = scaler_stats(train, features).first().asDict()
-    prepared = []
-    for c in features:
-        mean = float(row[f"{c}_mean"] if row[f"{c}_mean"] is not None else 0.0)
-        filled = f"coalesce(cast(`{c}` as double), double('{mean!r}'))"
-        if c in scale:
-            deviation = float(row[f"{c}_std"] or 1.0)
-            filled = f"({filled} - double('{mean!r}')) / double('{deviation!r}')"
-        prepared.append(f"{filled} AS `_in_{c}`")
-    prepare = SQLTransformer(statement=f"SELECT *, {', '.join(prepared)} FROM __THIS__")
-    assemble = VectorAssembler(inputCols=[f"_in_{c}" for c in features], outputCol="features")
+    prepare, assemble = preparation(scaler_stats(train, features).first().asDict(), features, scale)
     ready = assemble.transform(prepare.transform(train.where(F.col(target).isNotNull())))
     booster = GBTClassifier(
         labelCol=target, featuresCol="features", maxIter=rounds, seed=seed,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tillhouse.functions.draws import key_bucket, new_scan_id
 from tillhouse.functions.temporal import stamp
 from tillhouse.operators import sampling
-from tillhouse.plans import training
+from tillhouse.plans import batches, boosting, training
 from tillhouse.registry.core import query
 from tillhouse.registry.learning import quality_rows
 from tillhouse.session import new_folder
@@ -104,3 +104,38 @@ def model_kept_on_disk(spark, sf):
     return scored.agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col("score") == F.col("again")).alias("same"),
         F.min(F.col("score").between(0, 1)).alias("in_range"), F.min((label == 1) == (F.col("score") > training.THRESHOLD)).alias("consistent"))
+
+
+def _learning(spark, sf):
+    """Labelled documents, and those of them to train on."""
+    rows = quality_rows(spark, sf)
+    return rows, rows.where(key_bucket(F.col("doc_id")) < 70).drop("doc_id")
+
+
+@query("n bigint, same boolean, in_range boolean, folders bigint",
+       """SELECT count(*) AS n, true AS same, true AS in_range, 1 AS folders
+          FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)""")
+def boosting_resumed(spark, sf):
+    """A run that was stopped after its first stage and resumed scores every row as one that was not."""
+    rows, train = _learning(spark, sf)
+    whole, stopped = new_folder(spark, "boosting"), new_folder(spark, "boosting")
+    unbroken = boosting.fit_in_stages(train, whole, scale=["n_chars"], rounds=6, every=3)
+    boosting.fit_in_stages(train, stopped, scale=["n_chars"], rounds=6, every=3, stop_after=3)
+    resumed = boosting.fit_in_stages(train, stopped, scale=["n_chars"], rounds=6, every=3)
+    again = boosting.score(resumed, rows.drop("target")).select(F.col("doc_id").alias("k"), F.col("score").alias("again"))
+    both = boosting.score(unbroken, rows.drop("target")).join(again, F.col("doc_id") == F.col("k"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col("score") == F.col("again")).alias("same"),
+        F.min(F.col("score").between(0, 1)).alias("in_range"), F.lit(len(boosting.rounds_kept(spark, stopped))).alias("folders"))
+
+
+@query("n bigint, same boolean",
+       "SELECT count(*) AS n, true AS same FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)")
+def batch_scores(spark, sf):
+    """A kept model that scores Arrow batches agrees with the one that Spark runs."""
+    rows, train = _learning(spark, sf)
+    path = new_folder(spark, "model")
+    training.save_model(training.fit_model(train, scale=["n_chars", "n_words"]), path)
+    found = batches.score_batches(spark, path, rows.drop("target")).select(F.col("doc_id").alias("k"), F.col("score").alias("again"))
+    both = training.score(training.load_model(path), rows.drop("target")).join(found, F.col("doc_id") == F.col("k"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.min(F.abs(F.col("score") - F.col("again")) < 1e-12).alias("same"))

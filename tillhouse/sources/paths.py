@@ -26,6 +26,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any("=" in name or not name.startswith(("_", ".")) for name in names)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none where it doesn't exist."""
+    files, place = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place) if f.isDirectory()] if files.exists(place) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _file_system(spark, path)
     files.delete(place, True)
