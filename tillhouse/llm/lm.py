@@ -137,7 +137,7 @@ def _logits(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
     """Hidden values, logits of the classes, where classes start and logits of the members; words come by class."""
     hidden = np.repeat(w["shift"][None], len(ids), axis=0)
     for place, near in zip(w["place"], around):
-        hidden += (w["embedding"] * place)[near]
+        hidden += (w["embedding"] * place).take(near, axis=0)
     np.tanh(hidden, out=hidden)
     classes = hidden @ w["classes"]
     classes += w["class_shift"]
@@ -196,9 +196,7 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
         near = np.argsort(words, kind="stable")
         words = words[near]
         first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        # Sums of runs as differences of running sums, which are faster than reduceat on rows this short.
-        running = np.cumsum(back[near], axis=0, dtype=np.float64)[np.append(first[1:], len(words)) - 1]
-        found, sums = words[first], np.diff(running, axis=0, prepend=0).astype(np.float32)
+        found, sums = words[first], np.add.reduceat(back.take(near, axis=0), first, axis=0)
         embedding[found] += sums * w["place"][k]
         grad["place"][k] = (sums * w["embedding"][found]).sum(axis=0)
         seen[found] = True
