@@ -8,15 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillhouse import jobs
-from tillhouse.operators import sampling
+from tillhouse.operators import promotions, sampling
 from tillhouse.operators.activity import read_messages, zone_state
 from tillhouse.operators.promotions import best_prices, day_number, dyadic_pieces
 from tillhouse.operators.versions import apply_changes
 from tillhouse.plans import rollups, silver
+from tillhouse.registry import sales, streams
 from tillhouse.sources.paths import table_exists
 from tillhouse.sources.writers import write_partitioned
 from tillhouse.streaming import changes, ingest, monitor, sources, sums, zones
-from tillhouse.streaming.logs import BATCH, read_log, store_batch
+from tillhouse.streaming.logs import BATCH, read_log, store_batch, write_log
 
 DETAIL = ("scan_id string, store_id int, scan_timestamp timestamp_ntz, scan_datestamp date, item_upc string, unit_qty int, unit_price decimal(8,2), "
           "net_sale decimal(10,2), item_id int, category_code int, category_name string, city string, state string, region string")
@@ -296,3 +297,19 @@ def test_open_ended_promotions(spark):
     ], "id int, sale_date date, unit_price decimal(8,2), region string, category_code int, item_id int")
     got = {r.id: r.best_price for r in best_prices(sales, offers).collect()}
     assert got == {1: Decimal("9.00"), 2: Decimal("7.00"), 3: Decimal("1.00"), 4: Decimal("10.00"), 5: Decimal("10.00"), 6: Decimal("0.00")}
+
+
+def test_a_stretch_of_time_is_dealt_to_files_of_bounded_size(spark, folder, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    # 60 rows in the first half hour, one in the second, so that nearly all files of the second are empty.
+    some = spark.range(0, 61, 1, 20).select("id", F.timestamp_add("MINUTE", F.when(F.col("id") < 60, F.col("id") % 29).otherwise(60).cast("int"), start).alias("ts"))
+    path, files = streams._by_time(some, 2, F.lit(False), "ts")
+    assert files == 6 and streams._files(spark, path) == 12
+    assert max(r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()) < 30
+    again, more = streams._by_time(some.where("id < 5"), 2, F.lit(False), "ts", path)  # a second wave into the same folder
+    assert (again, more, streams._files(spark, path)) == (path, 1, 14)
+    path, files = streams._by_time(some, 2, F.lit(False), "ts")
+    log = folder("log")
+    write_log(sources.table_files(spark, path, some.schema, files), log, folder("checkpoint")).awaitTermination()
+    assert rows(read_log(spark, log, some.schema).groupBy(BATCH).count()) == [(0, 60), (1, 1)]

@@ -14,8 +14,9 @@ from tillhouse.registry.activity import ZONE_STATE, ZONE_STATE_SQL, message_line
 from tillhouse.registry.core import query
 from tillhouse.registry.tables import scan_lines
 from tillhouse.schemas import RETAIL_SCANS
-from tillhouse.session import new_folder
+from tillhouse.session import new_folder, staged
 from tillhouse.sources import retail_views as rv
+from tillhouse.sources.paths import exists
 from tillhouse.sources.readers import read_table
 from tillhouse.streaming import ingest, monitor, sources, zones
 from tillhouse.streaming.logs import read_log, write_log
@@ -31,8 +32,12 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(max(LEAST_FILES, rows.rdd.getNumPartitions()))
 
 
+def _files(spark: SparkSession, path: str) -> int:
+    return len(spark.read.format("binaryFile").load(path).inputFiles())
+
+
 def _per_batch(spark: SparkSession, path: str) -> int:
-    return max(1, len(spark.read.format("binaryFile").load(path).inputFiles()) // BATCHES)
+    return max(1, _files(spark, path) // BATCHES)
 
 
 def _write_scans(scans: DataFrame, path: str) -> None:
@@ -162,16 +167,33 @@ def stream_distinct_scans(spark, sf):
 DELAY = "6 hours"
 
 
-def _by_time(rows: DataFrame, parts: int, late: Column, time: str = "scan_ts", path: str | None = None) -> str:
-    """Rows in as many files as ``parts``, each with a stretch of time, in order; ``late`` rows come in the last one."""
-    path = path or new_folder(rows.sparkSession, "arriving")
+FILE_ROWS = 250_000  # at most, about
+
+
+def _by_time(rows: DataFrame, parts: int, late: Column, time: str = "scan_ts", path: str | None = None) -> tuple[str, int]:
+    """Rows in ``parts`` stretches of time, written in order; ``late`` rows come in the last one.
+
+    Every stretch has the same number of files, some of them perhaps empty, so that many files a batch make one stretch.
+    The number grows with the rows, which are written once and then dealt where they lie: no task holds a stretch.
+    """
+    rows = staged(rows, "rows")
+    spark, path = rows.sparkSession, path or new_folder(rows.sparkSession, "arriving")
     lo, hi = rows.agg(F.min(time), F.max(time)).first()
     step = (hi - lo) / parts
+    stretches = []
     for i in range(parts):
         until = F.lit(True) if i == parts - 1 else F.col(time) < F.lit(lo + (i + 1) * step)
         stretch = (F.col(time) >= F.lit(lo + i * step)) & until
-        rows.where(stretch & ~late | late if i == parts - 1 else stretch & ~late).coalesce(1).write.mode("append").parquet(path)
-    return path
+        stretches.append(stretch & ~late | late if i == parts - 1 else stretch & ~late)
+    most = max(rows.agg(*[F.count_if(s).alias(f"_{i}") for i, s in enumerate(stretches)]).first())
+    files = max(1, -(-most // FILE_ROWS))
+    there = _files(spark, path) if exists(spark, path) else 0
+    for stretch in stretches:
+        rows.where(stretch).coalesce(files).write.mode("append").parquet(path)
+        for _ in range(there + files - _files(spark, path)):
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(path)
+        there += files
+    return path, files
 
 
 @query(
@@ -188,9 +210,9 @@ def stream_distinct_within(spark, sf):
     scans = rv.timed_scans(spark, sf).select("scan_id", "unit_qty", "scan_ts")
     again = rv.table(spark, sf, "events").where("event_type = 'purchase' AND ts < '2024-01-11'").select(
         F.col("event_id").cast("string").alias("scan_id"), F.lit(1).alias("unit_qty"), F.timestamp_add("DAY", F.lit(19), F.col("ts")).alias("scan_ts"))
-    path = _by_time(scans.unionByName(scans).unionByName(again), 6, F.lit(False))
+    path, files = _by_time(scans.unionByName(scans).unionByName(again), 6, F.lit(False))
     log, checkpoint = new_folder(spark, "distinct"), new_folder(spark, "checkpoint")
-    stream = sources.table_files(spark, path, scans.schema, files_per_batch=1)
+    stream = sources.table_files(spark, path, scans.schema, files)
     ingest.log_distinct_within(stream, log, checkpoint, DELAY).awaitTermination()
     return read_log(spark, log, scans.schema).groupBy("scan_id", "unit_qty").agg(
         F.min("scan_ts").alias("scan_ts"), F.count(F.lit(1)).alias("copies"))
@@ -211,13 +233,13 @@ def stream_distinct_within(spark, sf):
 def stream_minute_rate(spark, sf):
     """Closed minutes with the scans that were in time for them and those that came late: voids arrive at the end.
 
-    A micro-batch takes scans by the watermark that the batch before it began with, so the last of five files is held
+    A micro-batch takes scans by the watermark that the batch before it began with, so the last of five stretches is held
     against the first three. All counts are folded; what is read is a row a minute and zone.
     """
     scans = rv.timed_scans(spark, sf).select("scan_ts", "timezone", "unit_qty")
-    path = _by_time(scans, 5, F.col("unit_qty") == 0)
+    path, files = _by_time(scans, 5, F.col("unit_qty") == 0)
     log, table, closed, marks, more = (new_folder(spark, n) for n in ("minutes", "counts", "closed", "checkpoint", "checkpoint"))
-    stream = lambda: sources.table_files(spark, path, scans.schema, files_per_batch=1)
+    stream = lambda: sources.table_files(spark, path, scans.schema, files)
     monitor.log_closed_minutes(stream(), closed, marks, DELAY).awaitTermination()
     monitor.log_minutes_by_day(stream(), log, more).awaitTermination()
     monitor.fold_minute_counts(spark, log, table)
@@ -248,7 +270,7 @@ def stream_zone_processor(spark, sf):
     path, log, checkpoint = (new_folder(spark, n) for n in ("arriving", "zones", "checkpoint"))
     half = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
     for wave in (heard.where(F.col("ts") < half), heard.where(F.col("ts") >= half)):
-        files = _by_time(wave, 2, F.lit(False), "ts", path)
-        stream = sources.table_files(spark, files, MESSAGES, files_per_batch=1)
+        _, files = _by_time(wave, 2, F.lit(False), "ts", path)
+        stream = sources.table_files(spark, path, MESSAGES, files)
         zones.log_zone_marks(stream, F.col("seq"), log, checkpoint, DELAY, dt.timedelta(hours=12)).awaitTermination()
     return zones.current_zones(read_log(spark, log, zones.STATE))
