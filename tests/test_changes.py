@@ -313,3 +313,23 @@ def test_a_stretch_of_time_is_dealt_to_files_of_bounded_size(spark, folder, monk
     log = folder("log")
     write_log(sources.table_files(spark, path, some.schema, files), log, folder("checkpoint")).awaitTermination()
     assert rows(read_log(spark, log, some.schema).groupBy(BATCH).count()) == [(0, 60), (1, 1)]
+
+
+def test_sales_without_offers_are_neither_listed_nor_joined(spark, monkeypatch):
+    sold = spark.createDataFrame(
+        [("a", "2024-01-05", "10.00", 1), ("b", "2024-01-05", "10.00", 2), ("c", "2024-03-01", "10.00", 1), ("d", "2023-12-31", "-1.00", 1),
+         ("e", None, "10.00", 1), ("f", "2024-01-20", "10.00", 1), ("g", "2024-03-01", None, 1)], "scan_id string, d string, p string, item_id int",
+    ).select("scan_id", F.col("d").cast("date").alias("sale_date"), F.col("p").cast("decimal(8,2)").alias("unit_price"),
+             F.lit("r").alias("region"), F.lit(1).alias("category_code"), "item_id")
+    offers = spark.createDataFrame(
+        [("2024-01-01", "2024-01-10", "AMT_OFF", "3.00", 1), ("2024-01-15", "2024-01-31", "PCT_OFF", "50.00", None)],
+        "s string, e string, discount_type string, v string, item_id int",
+    ).select(F.col("s").cast("date").alias("start_date"), F.col("e").cast("date").alias("end_date"), "discount_type",
+             F.col("v").cast("decimal(10,2)").alias("discount_value"), F.lit(None).cast("string").alias("region"),
+             F.lit(None).cast("int").alias("category_code"), "item_id")
+    written = {}
+    real = promotions.staged
+    monkeypatch.setattr(promotions, "staged", lambda df, label: written.setdefault(label, real(df, label)))
+    found = {r.scan_id: str(r.best_price) for r in best_prices(sold, offers).collect()}
+    assert found == {"a": "7.00", "b": "10.00", "c": "10.00", "d": "0.00", "e": "10.00", "f": "5.00", "g": "0.00"}
+    assert written["sold"].count() == 3

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,15 +80,18 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     every sale with every promotion, each distinct day and place of the sales is listed once for every set of scope
     columns in use (eight at most), with the others left out. What remains distinct, a small table for wide scopes, meets
     the pieces of the promotions (see ``dyadic_pieces``) in an equi-join, and the best offers (largest percentage, largest
-    amount, lowest new price) go back the same way. The sales are joined once, with one row of offers. A
+    amount, lowest new price) go back the same way. The sales are joined once, with one row of offers; those of days before
+    the first and after the last promotion of every set of scope columns meet none and are neither listed nor joined. A
     buy-one-get-one offer has no defined unit price and changes nothing. ``sales`` needs ``sale_date``, ``unit_price`` and
     the scope columns.
     """
     kind, value = F.col("discount_type"), F.col("discount_value")
     pieces = staged(dyadic_pieces(promotions, "start_date", "end_date").select(
-        *SCOPE, _scope([F.col(c) for c in SCOPE]).alias("scope"), "level", "piece", F.when(kind == "PCT_OFF", value).alias("pct"),
+        *SCOPE, "start_date", "end_date", _scope([F.col(c) for c in SCOPE]).alias("scope"), "level", "piece", F.when(kind == "PCT_OFF", value).alias("pct"),
         F.when(kind == "AMT_OFF", value).alias("amt"), F.when(kind == "NEW_PRICE", value).alias("new")), "offers")
-    levels = {r.scope: r.levels for r in pieces.groupBy("scope").agg(F.sort_array(F.collect_set("level")).alias("levels")).collect()}
+    in_use = pieces.groupBy("scope").agg(
+        F.sort_array(F.collect_set("level")).alias("levels"), F.min("start_date").alias("first"), F.max("end_date").alias("last")).collect()
+    levels = {r.scope: r.levels for r in in_use}
     price = F.col("unit_price").cast(EXACT)
     if not levels:
         return sales.withColumn("best_price", F.round(price, 2).cast("decimal(10,2)"))
@@ -94,11 +99,13 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     places, masked = ["sale_date", *SCOPE], ["sale_date", "scope", *(f"in_{c}" for c in SCOPE)]
     # Dealt by a fixed number, so that what is a small file still keeps all cores busy when its rows are listed.
     parts = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sold = staged(sales.select(*places).repartition(parts, *places).distinct(), "sold")
-    views = [F.struct(F.lit(scope).alias("scope"), *[
+    days = {r.scope: F.col("sale_date").between(F.lit(r.first), F.lit(r.last)) for r in in_use}
+    on_offer = F.coalesce(reduce(or_, days.values()), F.lit(False))
+    sold = staged(sales.where(on_offer).select(*places).repartition(parts, *places).distinct(), "sold")
+    views = [F.when(days[scope], F.struct(F.lit(scope).alias("scope"), *[
         (F.col(c) if scope >> i & 1 else F.lit(None).cast(sold.schema[c].dataType)).alias(f"in_{c}") for i, c in enumerate(SCOPE)
-    ]) for scope in sorted(levels)]
-    listed = sold.withColumn("_view", F.explode(F.array(*views))).select(*places, "_view.*")
+    ])) for scope in sorted(levels)]
+    listed = sold.withColumn("_view", F.explode(F.array_compact(F.array(*views)))).select(*places, "_view.*")
     listed = listed.where(_scope([F.col(f"in_{c}") for c in SCOPE]) == F.col("scope"))  # a sale without a region is in no region
     used = F.element_at(F.create_map(*[x for k, v in levels.items() for x in (F.lit(k), F.lit(v))]), F.col("scope"))
     leveled = listed.select(*masked).distinct().withColumn("level", F.explode(used))
@@ -109,9 +116,11 @@ def best_prices(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     met = staged(with_keys_of(placed, own, ["level", "piece", *masked[1:]], "inner", values).groupBy(*masked).agg(*best), "day-offers")
     offers = staged(with_keys_of(listed, met, masked, "inner", values).groupBy(*places).agg(*best).select(
         *places, *[F.col(v).alias(f"_{v}") for v in values]), "best-offers")
-    joined = with_keys_of(sales, offers, places, "left", ["_pct", "_amt", "_new"])
+    joined = with_keys_of(sales.where(on_offer), offers, places, "left", ["_pct", "_amt", "_new"])
     kept_share = (F.lit(Decimal("100.00")) - F.col("_pct")) * F.lit(Decimal("0.01"))
     lowest = F.least(
         price, (F.col("unit_price") * kept_share).cast(EXACT), (F.col("unit_price") - F.col("_amt")).cast(EXACT), F.col("_new").cast(EXACT))
     lowest = F.greatest(lowest, F.lit(0).cast(EXACT))
-    return joined.select(*sales.columns, F.round(lowest, 2).cast("decimal(10,2)").alias("best_price"))
+    cheapest = joined.select(*sales.columns, F.round(lowest, 2).cast("decimal(10,2)").alias("best_price"))
+    usual = F.round(F.greatest(price, F.lit(0).cast(EXACT)), 2).cast("decimal(10,2)")
+    return cheapest.unionByName(sales.where(~on_offer).withColumn("best_price", usual))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.functions.temporal import scan_date
-from tillhouse.operators.promotions import best_prices, draft_promotions
+from tillhouse.operators.promotions import SCOPE, best_prices, draft_promotions
 from tillhouse.plans import dashboard, inventory, silver
 from tillhouse.registry.core import query
 from tillhouse.session import new_folder, staged
@@ -312,6 +312,7 @@ def promotion_drafts(spark, sf):
 )
 def promotion_best_price(spark, sf):
     """Sales are matched where they are stored, dealt by day."""
-    stored = staged(detail(spark, sf).repartition("scan_datestamp"), "sales_detail")
+    used = detail(spark, sf).select("scan_id", "scan_timestamp", "scan_datestamp", "unit_price", *SCOPE)
+    stored = staged(used.repartition("scan_datestamp"), "sales_detail")
     sales = stored.withColumn("sale_date", scan_date(F.col("scan_timestamp")))
     return best_prices(sales, promotions(spark, sf))
