@@ -102,7 +102,7 @@ def record_changes(spark: SparkSession, silver_path: str, changed: DataFrame, ba
 
     The last of a scan's versions by ``order`` (by default the least quantity, which a void has) replaces the stored one.
     The differences of a batch are logged before the details change, and a logged batch isn't computed again, so a run
-    that fails anywhere can be repeated.
+    that fails anywhere can be repeated. Versions that are stored already, as in such a run, rewrite no partition.
     """
     order = list(order) or [-F.col("unit_qty")]
     path = f"{silver_path}/sales_detail"
@@ -111,14 +111,20 @@ def record_changes(spark: SparkSession, silver_path: str, changed: DataFrame, ba
             *DETAIL_COLUMNS).write.parquet(f"{folder}/newest")
         newest = spark.read.parquet(f"{folder}/newest")
         days = [r[0] for r in newest.select("scan_datestamp").distinct().collect()]  # days of the calendar
-        images = signed_images(read_table(spark, path), newest, days)
+        # Images that are the same before and after cancel out; only what differs is counted and brought into the details.
+        signed = signed_images(read_table(spark, path), newest, days).groupBy(*DETAIL_COLUMNS).agg(
+            F.sum("_sign").alias("_sign"), F.max("_sign").alias("_newest"))
+        signed.where("_sign <> 0").write.parquet(f"{folder}/images")
+        images = spark.read.schema(signed.schema).parquet(f"{folder}/images")
         for rollup in rollups():
             log = _paths(silver_path, rollup)[1]
             if not exists(spark, f"{log}/{BATCH}={batch}"):
                 changes = measures(images, rollup, F.col("_sign"))
                 store_batch(changes.where(" OR ".join(f"{c} <> 0" for c in SUMS)), batch, log)
-        upsert_table(spark, path, newest, ["scan_id"], [-F.col("unit_qty")], ["scan_datestamp"],
-                     partition_fixed_by_key=True, incoming_wins=True)
+        differing = images.where("_newest = 1").select(*DETAIL_COLUMNS)
+        if not differing.isEmpty():
+            upsert_table(spark, path, differing, ["scan_id"], [-F.col("unit_qty")], ["scan_datestamp"],
+                         partition_fixed_by_key=True, incoming_wins=True)
 
 
 def fold_rollups(spark: SparkSession, silver_path: str) -> None:
