@@ -351,3 +351,21 @@ def test_sales_without_offers_are_neither_listed_nor_joined(spark, monkeypatch):
     found = {r.scan_id: str(r.best_price) for r in best_prices(sold, offers).collect()}
     assert found == {"a": "7.00", "b": "10.00", "c": "10.00", "d": "0.00", "e": "10.00", "f": "5.00", "g": "0.00"}
     assert written["sold"].count() == 3
+
+
+def test_sales_meet_small_dimensions_without_a_shuffle(spark, folder):
+    at = folder("tables")
+    for name, schema, some in (
+        ("lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, d string",
+         [(1, 1, 1, 1, 2.0, 1.5, "N", "1997-06-01"), (1, 2, 1, 2, 1.0, 2.0, "R", "1997-06-02"), (2, 3, 9, 1, 1.0, 2.0, "N", "1997-06-02"), (3, None, 1, 1, 1.0, 2.0, "N", "1997-06-02")]),
+        ("part", "p_partkey long, p_brand string, p_size int, p_retailprice double", [(1, "Brand#11", 1, 1.0), (2, "Brand#12", 2, 2.0), (3, "Brand#12", 46, 2.0)]),
+        ("supplier", "s_suppkey long, s_nationkey int", [(1, 5)]), ("nation", "n_nationkey int, n_name string, n_regionkey int", [(5, "N", 0)]),
+        ("region", "r_regionkey int, r_name string", [(0, "ASIA")]),
+    ):
+        table = spark.createDataFrame(some, schema)
+        (table.withColumn("l_shipdate", F.col("d").cast("timestamp_ntz")).drop("d") if name == "lineitem" else table).write.parquet(f"{at}/{name}.parquet")
+    found = sales.detail(spark, at)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    got = [(r.item_id, r.store_id, str(r.scan_datestamp), r.unit_qty, str(r.net_sale), r.city, r.category_code) for r in found.collect()]
+    assert sorted(got) == [(1, 1, "1997-06-01", 2, "3.00", "N", 20110), (2, 1, "1997-06-02", 0, "0.00", "N", 20120)]

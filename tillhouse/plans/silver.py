@@ -50,21 +50,16 @@ def sales_detail(
     day = scans if run_date is None else scans_between(
         scans, run_date, run_date + dt.timedelta(days=1)
     )
-    typed = with_scan_time(day)
-    facts = typed.select(
-        "scan_id",
-        "store_id",
-        F.col("scan_ts").alias("scan_timestamp"),
-        scan_date(F.col("scan_ts")).alias("scan_datestamp"),
-        "item_upc",
-        "unit_qty",
-        "unit_price",
-        net_sale(F.col("unit_qty"), F.col("unit_price")).alias("net_sale"),
-    )
+    # Only what isn't derived is shuffled, and the places, which the planner mostly broadcasts, come last.
+    facts = with_scan_time(day).select("scan_id", "store_id", "scan_ts", "item_upc", "unit_qty", "unit_price")
     places = stores.select("store_id", "city", "state", "region")
     names = item_dimension.select("item_upc", "item_id", "category_code", "category_name")
-    enriched = join_dimension(join_dimension(facts, places, "store_id"), names, "item_upc")
-    return enriched.select(*DETAIL_COLUMNS)
+    enriched = join_dimension(join_dimension(facts, names, "item_upc"), places, "store_id")
+    return enriched.withColumns({
+        "scan_timestamp": F.col("scan_ts"),
+        "scan_datestamp": scan_date(F.col("scan_ts")),
+        "net_sale": net_sale(F.col("unit_qty"), F.col("unit_price")),
+    }).select(*DETAIL_COLUMNS)
 
 
 def sales_by_day(detail: DataFrame) -> DataFrame:

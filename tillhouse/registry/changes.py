@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.plans import rollups, silver
 from tillhouse.registry.core import query
-from tillhouse.registry.sales import _BY_DAY, dimension
+from tillhouse.registry.sales import _BY_DAY, stored_dimensions
 from tillhouse.session import new_folder
 from tillhouse.sources import retail_views as rv
 from tillhouse.sources.writers import write_partitioned
@@ -19,7 +19,7 @@ def _late_voids(spark, sf) -> str:
     The first batch is folded and also recorded once more, as after a failure; the second one stays in the log.
     """
     path = new_folder(spark, "silver")
-    items, stores = dimension(spark, sf), rv.stores(spark, sf)
+    stores, items = stored_dimensions(spark, sf)
     sales = silver.sales_detail(rv.timed_scans(spark, sf, voided=False), stores, items)
     write_partitioned(sales, f"{path}/sales_detail", ["scan_datestamp"])
     rollups.create_rollups(spark, path)

@@ -28,14 +28,20 @@ def dimension(spark: SparkSession, sf: str) -> DataFrame:
     return silver.items_categories(rv.items(spark, sf), rv.categories(spark, sf), rv.MADE_UP_FROM)
 
 
+def stored_dimensions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stores and item dimension as tables of their own, as silver keeps them: the planner knows their size beforehand.
+
+    The size of a join is not known before it runs; by then the sales would be shuffled to meet it.
+    """
+    return staged(rv.stores(spark, sf), "stores"), staged(dimension(spark, sf), "items_categories")
+
+
 def detail(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.sales_detail(rv.scans(spark, sf), rv.stores(spark, sf), dimension(spark, sf))
+    return silver.sales_detail(rv.scans(spark, sf), *stored_dimensions(spark, sf))
 
 
 def timed_detail(spark: SparkSession, sf: str, voided: bool = True, run_date: dt.date | None = None) -> DataFrame:
-    return silver.sales_detail(
-        rv.timed_scans(spark, sf, voided), rv.stores(spark, sf), dimension(spark, sf), run_date
-    )
+    return silver.sales_detail(rv.timed_scans(spark, sf, voided), *stored_dimensions(spark, sf), run_date)
 
 
 @query(
