@@ -62,6 +62,80 @@ def test_word_table(tokenizer, monkeypatch):
             assert ids[starts[k]:starts[k + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
 
 
+def _same(table, tokenizer, texts):
+    ids, starts = table.encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[starts[k]:starts[k + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], text
+
+
+def test_words_are_met_once(tokenizer, monkeypatch):
+    table, met = token_files.WordTable(WORDS, 1), []
+    learn = table._learn
+    monkeypatch.setattr(table, "_learn", lambda new: (met.extend(map(str, new)), learn(new))[1])
+    _same(table, tokenizer, ["École foo### foo!! école, bar", "ÉCOLE. foo?) Bar%%% bar*** x|.", "foo<|endoftext|>!", "it's. a'! É<."])
+    assert sorted(met) == sorted([
+        "", "###", "!!", ",", ".", "?)", "%%%", "***", "école", "foo", "bar", "x|.", "foo<|endoftext|>!", "it's", "a'!", "É<."])
+
+
+def test_plain_words_meet_the_model_alone():
+    table = token_files.WordTable(WORDS, 1)
+    expected = [i.tolist() for i in table.encode(pa.array(["", "1 # plaîn wörds"]))]
+    table._clear()
+    table.encode(pa.array(["", "1 #"]))
+    table.tokenizer = None
+    assert [i.tolist() for i in table.encode(pa.array(["", "1 # plaîn wörds"]))] == expected
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_latin_words(tokenizer, seed):
+    draw = random.Random(seed)
+    pool = [chr(c) for c in (*range(1, 0x180), *range(0x300, 0x310))] + [*token_files.STOPS, "a", "B", "é"] * 4 + ["'s", "<|endoftext|>"]
+    table = token_files.WordTable(WORDS, 1)
+    _same(table, tokenizer, ["".join(draw.choices(pool, k=draw.randint(0, 20))) for _ in range(5000)])
+
+
+def test_other_tokenizers(folder):
+    import os
+
+    from tokenizers import Regex, Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    splits, adds = Tokenizer.from_file(WORDS), Tokenizer.from_file(WORDS)
+    splits.pre_tokenizer = Sequence([Split(Regex("[a-m]+|[^a-m\\s]+"), "removed", invert=True), ByteLevel(add_prefix_space=False, use_regex=False)])
+    adds.add_tokens(["foo"])
+    os.makedirs(path := folder())
+    for k, other in enumerate((splits, adds)):
+        other.save(f"{path}/{k}.json")
+        _same(token_files.WordTable(f"{path}/{k}.json", 1), other, ["xfoo foo hello world", "one éa ñ"])
+
+
+def test_whole_byte_ids(monkeypatch):
+    def fail(*_, **__):
+        raise AssertionError("ids of whole bytes taken to bits")
+
+    monkeypatch.setattr(np, "packbits", fail)
+    monkeypatch.setattr(np, "unpackbits", fail)
+    for bits, data in ((8, b"\x01\x02\xff"), (16, b"\0\x01\0\x02\0\xff"), (32, b"\0\0\0\x01\0\0\0\x02\0\0\0\xff")):
+        assert token_files.pack(np.array([1, 2, 255], np.uint32), bits) == data
+        assert token_files.unpack(data, 3, bits).tolist() == [1, 2, 255]
+
+
+def test_ids_are_joined_by_run(monkeypatch):
+    import io
+
+    joins, join = [], np.concatenate
+    monkeypatch.setattr(np, "concatenate", lambda *a, **k: (joins.append(1), join(*a, **k))[1])
+    for bits in (13, 16):
+        out, ids = io.BytesIO(), np.arange(300_000, dtype=np.uint32) % 8000
+        writer = token_files._Writer(out, bits)
+        for at in range(0, len(ids), 100):
+            writer.add(at, ids[at:at + 100])
+        writer.close()
+        assert len(joins) <= 4
+        joins.clear()
+        assert token_files.unpack(out.getvalue()[8:8 + len(ids) * bits // 8], len(ids), bits).tolist() == ids.tolist()
+
+
 def test_files(spark, tokenizer):
     texts = _texts(300, 5) + [None, "", "word " * 30_000]
     rows = [(k * 3 - 50, t, "x") for k, t in enumerate(texts)] + [(None, "none", "x"), (4, "again", "x"), (4, "again", "x")]

@@ -14,6 +14,8 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +81,12 @@ def range_bounds(rows: DataFrame, partitions: int) -> list[int]:
     return bounds
 
 
+def shard_numbers(edges: np.ndarray, ids: pa.Array) -> pa.Array:
+    """The shards of ids; NULL ids go to the first."""
+    found = np.searchsorted(edges, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right")
+    return pa.array(np.where(pc.is_null(ids).to_numpy(zero_copy_only=False), 0, found), pa.int32())
+
+
 def shard_of(bounds: list[int]):
     """A column function: the shard of an id."""
     edges = np.array(bounds, dtype=np.int64)

@@ -13,8 +13,9 @@ A file holds the documents of a range of ids, in order. Each id takes as many bi
 Every block starts at a whole byte, so a reader unpacks one or many with numpy and reaches any id through its block.
 
 Documents are encoded where they are read, by the ``tokenizers`` library. No piece of that tokenizer spans white space,
-so each distinct word of a batch is encoded once and occurrences are filled in from a table. Only packed ids are
-shuffled, once, to the shard of their id range. Files appear whole under names that depend on the data only.
+so each distinct word of a batch is encoded once and occurrences are filled in from a table. Words that the tokenizer's
+normal form and pieces leave alone meet its model without these two steps. Only packed ids are shuffled, once, to the
+shard of their id range. Files appear whole under names that depend on the data only.
 
 Defined results: a NULL or empty text has the end id only; documents with NULL id come first; rows with the same id
 follow each other in the order of their ids' bytes; an empty table gives no files and an empty result; other columns
@@ -23,10 +24,12 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +40,23 @@ from pyspark.sql.window import Window as W
 
 from tillhouse.llm.blocks import gathered
 from tillhouse.llm.common import shuffle_partitions
-from tillhouse.llm.files import id_bytes, open_input, range_bounds, shard_of, whole_file
+from tillhouse.llm.files import id_bytes, open_input, range_bounds, shard_numbers, whole_file
 from tillhouse.session import new_folder, staged
 
 MAGIC = b"TOKBITS1"
 BLOCK = 4096  # ids; a multiple of 8, so that full blocks end at a whole byte
 TRAILER = "<QQQII8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
-NONE = np.zeros(0, np.int64)
+WHOLE_BYTES = {8: "u1", 16: ">u2", 32: ">u4"}  # widths that need no bit by bit packing
 WORD_END = "</w>"  # what the last token of a word ends with
 CHUNK_BYTES = 8 << 20  # of text that is encoded together
 SENT_BYTES = 2 << 20  # of ids that go back together, about
 KNOWN_WORDS = 400_000  # words whose ids a task keeps; beyond that it starts afresh
+JOINED = 100  # words that are encoded as one text
+SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff"  # letters that are their own normal form
+SIMPLE = f"^[{SMALL}]+$"
+LATIN = r"^[\x00-;=-\x7f\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]*$"  # may be lower-cased at once; "<" begins added tokens
+STOPS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # not the quote, which begins pieces, nor what added tokens hold
 
 
 def bits_for(vocabulary: int) -> int:
@@ -56,11 +64,15 @@ def bits_for(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits in WHOLE_BYTES:
+        return ids.astype(WHOLE_BYTES[bits]).tobytes()
     wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(wide[:, 32 - bits:]).tobytes()
 
 
 def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
+    if bits in WHOLE_BYTES:
+        return np.frombuffer(data, WHOLE_BYTES[bits], count).astype(np.uint32)
     narrow = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits).reshape(count, bits)
     wide = np.zeros((count, 32), np.uint8)
     wide[:, 32 - bits:] = narrow
@@ -85,45 +97,73 @@ class WordTable:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.kind = np.dtype("<u2" if max(len(self.ends_word) - 1, end_id or 0) < 1 << 16 else "<u4")
+        self.model_alone = self._model_alone()
         self._clear()
 
+    def _model_alone(self):
+        """A tokenizer that only splits at spaces, for words of ``SMALL`` letters; None if this one does more to them."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
+        split = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        letters = "".join(filter(re.compile(SIMPLE).match, map(chr, range(256))))
+        probe = f"{letters} {letters[::-1]} {' '.join(letters)}"
+        normal, pieces = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is not None and normal.normalize_str(probe) != probe:
+            return None
+        if pieces is None or [p for p, _ in pieces.pre_tokenize_str(probe)] != [p for p, _ in split.pre_tokenize_str(probe)]:
+            return None
+        if any(re.match(SIMPLE, t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return None
+        alone = Tokenizer(self.tokenizer.model)
+        alone.pre_tokenizer = split
+        return alone
+
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
-
-    def _encoded(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Words of letters alone end with the one token that ends a word, so many of them are encoded as one text."""
-        words = pa.array(new, pa.string())
-        ascii_words = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
-        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & ascii_words
-        for i in np.flatnonzero(~ascii_words).tolist():
-            letters[i] = _letters(new[i])
-        plain = [w for w, yes in zip(new, letters.tolist()) if yes]
-        for at in range(0, len(plain), 20_000):
-            some = plain[at:at + 20_000]
-            ids = np.array(self._encoded([" ".join(some)])[0], np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(some):
-                self._keep(some, np.diff(ends, prepend=0), ids)
-            else:  # another kind of tokenizer
-                self._keep_each(some)
-        others = [w for w, yes in zip(new, letters.tolist()) if not yes]
-        for at in range(0, len(others), 5_000):
-            self._keep_each(others[at:at + 5_000])
-
-    def _keep_each(self, words: list[str]) -> None:
-        lists = self._encoded(words)
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        self._keep(words, lengths, np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum())))
-
-    def _keep(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        self.lengths.append(lengths)
-        self.ids.append(ids)
+        """``words`` and, at the same places, their ``ids``."""
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Adds words to the table and returns their places.
+
+        Words of letters alone end with the one token that ends a word, so many of them are encoded as one text.
+        """
+        simple = pc.match_substring_regex(new, SIMPLE).to_numpy(zero_copy_only=False) & (self.model_alone is not None)
+        kinds = np.where(simple, 0, 2)
+        maybe = np.flatnonzero(pc.utf8_is_alpha(new).to_numpy(zero_copy_only=False) & ~simple)
+        kinds[maybe] = [1 if _letters(w) else 2 for w in new.take(pa.array(maybe)).to_pylist()]
+        words, ids = [self.words], [self.ids]
+        for kind, at_once, encoded in ((0, 20_000, self._joined), (1, 20_000, self._joined), (2, 5_000, self._each)):
+            some = new.filter(pa.array(kinds == kind))
+            words.append(some)
+            ids += [encoded(some[at:at + at_once], kind == 0) for at in range(0, len(some), at_once)]
+        places = np.empty(len(new), np.int32)
+        places[np.argsort(kinds, kind="stable")] = np.arange(len(self.words), len(self.words) + len(new))
+        self.words, self.ids = pa.concat_arrays(words), pa.concat_arrays(ids)
+        return places
+
+    def _joined(self, words: pa.Array, simple: bool) -> pa.Array:
+        starts = np.append(np.arange(0, len(words), JOINED), len(words)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(starts, words), pa.scalar(" ", pa.large_string()))
+        tokenizer = self.model_alone if simple else self.tokenizer
+        lists = tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in lists), self.kind)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):  # another kind of tokenizer
+            return self._each(words)
+        return self._binary(ends, ids)
+
+    def _each(self, words: pa.Array, simple: bool = False) -> pa.Array:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        return self._binary(ends, np.fromiter(chain.from_iterable(lists), self.kind))
+
+    def _binary(self, ends: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The bytes of ids for each word, given where a word's ids end."""
+        offsets = np.concatenate([[0], ends]).astype(np.int64) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
 
     def _places(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each distinct word the places of its core and of its trailing stops.
@@ -131,31 +171,27 @@ class WordTable:
         Stops are cut off where a letter or digit comes before that the tokenizer leaves as it is, as they are a piece
         of their own there.
         """
-        plain = pc.and_(pc.string_is_ascii(distinct), pc.invert(pc.match_substring(distinct, "<")))
-        words = pc.if_else(plain, pc.ascii_lower(distinct), distinct)
-        stopped = pc.or_(pc.ends_with(words, "."), pc.ends_with(words, ","))
-        ends = words.filter(stopped)
-        cores = pc.utf8_rtrim(ends, characters=".,")
-        apart = pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u00ff]$")
+        words = pc.if_else(pc.match_substring_regex(distinct, LATIN), pc.utf8_lower(distinct), distinct)
+        cores = pc.ascii_rtrim(words, characters=STOPS)
+        stopped = pc.less(pc.binary_length(cores), pc.binary_length(words))
+        ends, cores = words.filter(stopped), cores.filter(stopped)
+        apart = pc.match_substring_regex(cores, f"[0-9{SMALL}]$")
         words = pc.replace_with_mask(words, stopped, pc.if_else(apart, cores, ends))
-        tails = pc.if_else(apart, pc.replace_substring_regex(ends, "^.*[^.,]", ""), "")
-        if len(self.place) > KNOWN_WORDS:
+        tails = pc.if_else(apart, pc.replace_substring_regex(ends, f"^.*[^{re.escape(STOPS)}]", ""), "")
+        if len(self.words) > KNOWN_WORDS:
             self._clear()
-        tail = np.full(len(words), self._found([""])[0], np.int32)
-        for part, at in ((tails, stopped.to_numpy(zero_copy_only=False)), (words, slice(None))):
-            coded = part.dictionary_encode()
-            places = self._found(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-            if part is tails:
-                tail[at] = places
-        return places, tail
-
-    def _found(self, names: list[str]) -> np.ndarray:
+        tail = np.full(len(words), self._found(pa.array([""], pa.large_string()))[0], np.int32)
+        tail[stopped.to_numpy(zero_copy_only=False)] = self._found(tails)
+        return self._found(words), tail
+
+    def _found(self, names: pa.Array) -> np.ndarray:
         """Places of words in the table, which learns those that are new."""
-        known = self.place
-        new = [w for w in names if w not in known]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(known.__getitem__, names), np.int32, len(names))
+        coded = names.dictionary_encode()
+        known = pc.index_in(coded.dictionary, value_set=self.words)
+        places = pc.fill_null(known, -1).to_numpy().copy()
+        if known.null_count:
+            places[places < 0] = self._learn(coded.dictionary.filter(known.is_null()))
+        return places[coded.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and the place where each text's ids start, with one more for the end."""
@@ -163,44 +199,44 @@ class WordTable:
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.dictionary_encode()
         core, tail = self._places(coded.dictionary)
+        names = pc.binary_join_element_wise(self.ids.take(pa.array(core)), self.ids.take(pa.array(tail)), pa.scalar(b"", pa.large_binary()))
         word = coded.indices.to_numpy()
-        both = np.stack([core[word], tail[word]], axis=1).ravel()
-        self.lengths, self.ids = [np.concatenate([NONE, *self.lengths])], [np.concatenate([NONE.astype(np.uint32), *self.ids])]
-        length = self.lengths[0]
-        first = np.cumsum(length) - length
-        counts = length[both]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        kind = np.int32 if ends[-1] < 1 << 31 and len(self.ids[0]) < 1 << 31 else np.int64
-        at = np.repeat((first[both] - ends[:-1]).astype(kind), counts)
-        at += np.arange(ends[-1], dtype=kind)
-        ids = self.ids[0][at]
-        starts = ends[2 * offsets]
-        if self.end_id is None:
-            return ids, starts
-        return np.insert(ids, starts[1:], np.uint32(self.end_id)), starts + np.arange(len(starts))
-
-
-def encoded(docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, end_id: int | None, wide: bool) -> DataFrame:
-    """doc_id and the ids as little-endian 16-bit (``wide``: 32-bit) integers."""
-    kind = np.dtype("<u4" if wide else "<u2")
+        if self.end_id is not None:  # as one more word behind each text
+            names = pa.concat_arrays([names, pa.array([np.array(self.end_id, self.kind).tobytes()], pa.large_binary())])
+            word = np.insert(word, offsets[1:], len(names) - 1)
+            offsets += np.arange(len(offsets))
+        if not len(word):
+            return np.zeros(0, self.kind), offsets
+        _, ends, data = names.take(pa.array(word)).buffers()
+        starts = np.frombuffer(ends, np.int64, len(word) + 1)[offsets] // self.kind.itemsize
+        return np.frombuffer(data or b"", self.kind, int(starts[-1])), starts
+
+
+def encoded(
+    docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, end_id: int | None, wide: bool, bounds: list[int],
+) -> DataFrame:
+    """doc_id, the ids as little-endian 16-bit (``wide``: 32-bit) integers and the shard of the doc_id."""
+    kind, edges = np.dtype("<u4" if wide else "<u2"), np.array(bounds, np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(tokenizer_path, end_id)
         for batch in gathered(batches, CHUNK_BYTES):
             ids, starts = table.encode(batch.column(1))
-            data = pa.py_buffer(ids.astype(kind).tobytes())
+            data = pa.py_buffer(ids.astype(kind, copy=False))
+            shards = shard_numbers(edges, batch.column(0))
             offsets = starts * kind.itemsize
             step = max(1, batch.num_rows // (1 + int(offsets[-1]) // SENT_BYTES))
             for at in range(0, batch.num_rows, step):  # back in pieces that a JVM task holds easily
                 part = offsets[at:at + step + 1]
                 own = data.slice(int(part[0]), int(part[-1] - part[0]))
                 packed = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer((part - part[0]).astype(np.int32).tobytes()), own])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, step), packed], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, step), packed, shards.slice(at, step)], names=["doc_id", "ids", "shard"])
             del ids, data, own, packed
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(encode, "doc_id bigint, ids binary")
+    return rows.mapInArrow(encode, "doc_id bigint, ids binary, shard int")
 
 
 class _Writer:
@@ -209,31 +245,33 @@ class _Writer:
     def __init__(self, out, bits: int):
         self.out, self.bits = out, bits
         self.at = out.write(MAGIC)
-        self.rest = np.zeros(0, np.uint32)
+        self.held: list[np.ndarray] = []
+        self.n_held = 0
         self.starts, self.blocks = [0], []
         self.doc_ids: list[int] = []
         self.has_id: list[bool] = []
 
-    def _blocks(self, ids: np.ndarray) -> None:
-        size = BLOCK * self.bits // 8
-        data = pack(ids, self.bits)
+    def _blocks(self, count: int) -> None:
+        """Writes the first ``count`` of the ids held."""
+        held, size = np.concatenate(self.held), BLOCK * self.bits // 8
+        data = pack(held[:count], self.bits)
         self.blocks += range(self.at, self.at + len(data), size)
         self.at += len(data)
         self.out.write(data)
+        self.held, self.n_held = [held[count:]], len(held) - count
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.doc_ids.append(doc_id or 0)
         self.has_id.append(doc_id is not None)
         self.starts.append(self.starts[-1] + len(ids))
-        self.rest = np.concatenate([self.rest, ids])
-        if len(self.rest) >= 64 * BLOCK:
-            whole = len(self.rest) // BLOCK * BLOCK
-            self._blocks(self.rest[:whole])
-            self.rest = self.rest[whole:]
+        self.held.append(ids)
+        self.n_held += len(ids)
+        if self.n_held >= 64 * BLOCK:
+            self._blocks(self.n_held // BLOCK * BLOCK)
 
     def close(self) -> None:
-        if len(self.rest):
-            self._blocks(self.rest)
+        if self.n_held:
+            self._blocks(self.n_held)
         for values, kind in ((self.doc_ids, "<i8"), (self.has_id, "u1"), (self.starts, "<u8"), ([*self.blocks, self.at], "<u8")):
             self.out.write(np.array(values, dtype=kind).tobytes())
         self.out.write(struct.pack(TRAILER, self.at, len(self.doc_ids), len(self.blocks), self.bits, BLOCK, MAGIC))
@@ -290,8 +328,7 @@ def write_tokens(
     wide = bits > 16
     bounds = range_bounds(docs.select(*id_bytes(F.col(doc_id), F.col(text))), shuffle_partitions(docs.sparkSession))
     shards = len(bounds) + 1
-    rows = encoded(docs, doc_id, text, tokenizer_path, end_id, wide)
-    rows = rows.withColumn("shard", shard_of(bounds)("doc_id"))
+    rows = encoded(docs, doc_id, text, tokenizer_path, end_id, wide, bounds)
     dealt = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
     kind = np.dtype("<u4" if wide else "<u2")
 
@@ -306,7 +343,7 @@ def write_tokens(
             writer = _Writer(out, bits)
             while first is not None:
                 for one, ids in zip(first.column("doc_id").to_pylist(), first.column("ids")):
-                    writer.add(one, np.frombuffer(ids.as_buffer(), kind).astype(np.uint32))
+                    writer.add(one, np.frombuffer(ids.as_buffer(), kind))
                 first = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict({
@@ -326,7 +363,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):
                 file = TokenFile(path)
-                crc = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in file.documents()]
+                crc = [zlib.crc32(ids.astype("<u4", copy=False)) for _, ids in file.documents()]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(file.doc_ids, mask=~file.has_id), "start": base + file.starts[:-1],
                     "n_tokens": np.diff(file.starts), "ids_crc32": pa.array(crc, pa.int64()),
