@@ -46,11 +46,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every row."""
+    """Operator 2: doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every row.
+
+    Ids are stored before they are decoded: one task would need two Python workers at a time for both.
+    """
     prepared(spark)
     ranks = public_tokenizers.path(RANKS)
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return bpe.digests(decoded, "ids")
+    encoded = staged(bpe.encode(docs, ranks, public_tokenizers.PATTERN), "ids")
+    return bpe.digests(bpe.decode(encoded, ranks), "ids")
 
 
 STAGES = [

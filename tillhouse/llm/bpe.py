@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.blocks import squeeze, unsqueeze
-from tillhouse.llm.common import shuffle_partitions
+from tillhouse.llm.common import giving_back, shuffle_partitions
 
 CHUNK_BYTES = 8 << 20  # of text, about
 # A space that follows white space of any kind (a superset of what the pattern takes for it).
@@ -174,8 +174,8 @@ def encode(
     """
     buckets = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    asked = rows.mapInArrow(lambda it: _tokenise(it, pattern, buckets, chunk_bytes), ROW).repartition(buckets, "target")
-    answers = asked.mapInArrow(lambda it: _encode_words(it, ranks_path, pattern), ROW)
+    asked = rows.mapInArrow(giving_back(lambda it: _tokenise(it, pattern, buckets, chunk_bytes)), ROW).repartition(buckets, "target")
+    answers = asked.mapInArrow(giving_back(lambda it: _encode_words(it, ranks_path, pattern)), ROW)
     return asked.groupBy("target").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble, "doc_id bigint, ids array<int>")
 
 
@@ -192,7 +192,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), lists, pa.array(data, pa.binary())], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(join, "doc_id bigint, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(giving_back(join), "doc_id bigint, ids array<int>, decoded binary")
 
 
 def ids_text(ids: Column) -> Column:

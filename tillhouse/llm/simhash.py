@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import fresh, shuffle_partitions
+from tillhouse.llm.common import fresh, giving_back, shuffle_partitions
 from tillhouse.llm.components import components
 from tillhouse.session import staged
 
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataF
                 names=["doc_id", "text_hash", "fp"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
+    return rows.mapInArrow(giving_back(run), "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def text_hash(text: Column) -> Column:
@@ -215,7 +215,7 @@ def links(fps: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
         if held:
             yield from search(joined())
 
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def near_duplicates(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.llm.blocks import squeeze, unsqueeze
-from tillhouse.llm.common import shuffle_partitions
+from tillhouse.llm.common import giving_back, shuffle_partitions
 
 WINDOW = 50
 CHUNK_BYTES = 8 << 20  # of text
@@ -255,8 +255,8 @@ def deduplicate(
     one = F.col(doc_id).cast("bigint")
     texts = docs.select(one.alias("doc_id"), F.col(text).alias("text"))
     known = texts.filter("doc_id IS NOT NULL")
-    hashed = known.mapInArrow(lambda it: _hash_chunks(it, window, buckets, parts), ROW)
-    repeats = hashed.repartitionById(buckets, F.col("target")).mapInArrow(lambda it: _count(it, parts), ROW)
+    hashed = known.mapInArrow(giving_back(lambda it: _hash_chunks(it, window, buckets, parts)), ROW)
+    repeats = hashed.repartitionById(buckets, F.col("target")).mapInArrow(giving_back(lambda it: _count(it, parts)), ROW)
     row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("row")
     home = F.pmod(F.when(one.isNull(), F.xxhash64(F.col(text))).otherwise(F.xxhash64(one)), F.lit(parts)).cast("int")
     whole = docs.select(
@@ -267,7 +267,7 @@ def deduplicate(
         F.lit(None).cast(whole.schema["row"].dataType).alias("row"))
     met = repeats.union(whole).repartitionById(parts, F.col("target")).sortWithinPartitions("kind")
     out = T.StructType.fromDDL(CUT).add("row", whole.schema["row"].dataType)
-    return met.drop("target").mapInArrow(lambda it: _cut(it, window), out)
+    return met.drop("target").mapInArrow(giving_back(lambda it: _cut(it, window)), out)
 
 
 def kept_digest(cut: DataFrame) -> DataFrame:
