@@ -5,8 +5,10 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from tillhouse.llm import lm
+from tillhouse.llm.blocks import unsqueeze
 
 
 def _plain_score(model, counts, text):
@@ -70,3 +72,40 @@ def test_steps_follow_finite_differences():
         for flat in np.argsort(-np.abs(gradient), axis=None)[[0, 3, 20]]:
             at = np.unravel_index(flat, gradient.shape)
             assert math.isclose(gradient[at], (loss(name, at, 0.01) - loss(name, at, -0.01)) / 0.02, rel_tol=0.02, abs_tol=1e-5), name
+
+
+def test_rare_words_are_hashed_together(monkeypatch):
+    """Hashing distinct words one at a time took most of the time of reading a text."""
+    words = [f"{'long' * (n % 40)}wört{n}" if n % 100 == 0 else f"w{n}" for n in range(20000)] + ["x" * n for n in range(1, 300)]
+    expected = [zlib.crc32(x.encode()) % lm.HASHED for x in words]
+    calls = []
+    one = zlib.crc32
+    monkeypatch.setattr(lm.zlib, "crc32", lambda *args: calls.append(args) or one(*args))
+    distinct, ids, coded, counts = lm._coded(pa.array([" ".join(words), None, "W5 w5"]), {"w7": 0})
+    assert counts.tolist() == [len(words), 0, 2]
+    found = dict(zip(distinct.to_pylist(), ids.tolist()))
+    assert found.pop("w7") == 0
+    assert found == {x: lm.SIZE - lm.HASHED + bucket for x, bucket in zip(words, expected) if x != "w7"}
+    assert len(calls) < 1000  # those of very long words
+
+
+def test_chunks_carry_the_places_of_rare_words_as_one_value(spark):
+    """Arrays of a number for each place are written and read one by one by the JVM."""
+    texts = [" ".join(f"w{n}" for n in range(k, k + 60)) for k in range(0, 1200, 40)] + ["w1000 w1000 w1000 w3", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    model = lm.train(docs)
+    chunks = lm._scored_chunks(docs, model.vocabulary, model.weights)
+    assert dict(chunks.dtypes)["words"] == "array<string>" and dict(chunks.dtypes)["occurrences"] == "binary"
+    row = chunks.collect()[0]
+    per_doc, word, n = unsqueeze(row.occurrences)
+    at = 0
+    for text, k in zip(texts, per_doc.tolist()):
+        rare = collections.Counter(x for x in (text or "").split() if x not in model.vocabulary)
+        assert {row.words[word[i]]: n[i] for i in range(at, at + k)} == rare
+        at += k
+    assert at == len(word) > 0
+    for some in ([None, "", " "], ["w1", None]):  # no rare words, or no words at all
+        asked = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string").coalesce(1)
+        counts = collections.Counter(x for t in texts if t for x in t.split())
+        for r in lm.score(asked, model).collect():
+            assert math.isclose(r.log_likelihood, _plain_score(model, counts, some[r.doc_id] or ""), rel_tol=1e-4, abs_tol=1e-6)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.blocks import gathered
+from tillhouse.llm.blocks import gathered, squeeze, unsqueeze
 from tillhouse.session import staged
 
 CLASSES = 32  # at least
@@ -48,7 +48,9 @@ CHUNK_BYTES = 12 << 20  # of text whose distinct words are looked up together
 SIZE = CLASSES * MEMBERS  # at least; what is beyond it stands for the gap past a document's ends
 CHUNK = (
     "chunk bigint, doc_id array<bigint>, n_tokens array<bigint>, log_likelihood array<double>, words array<string>, "
-    "doc array<int>, word array<int>, n array<int>")
+    "occurrences binary")
+HEAD = 64  # bytes of a word that are hashed along with those of the other words
+CRC = np.array([zlib.crc32(bytes([k ^ 0xFF])) ^ 0xFF000000 for k in range(256)], np.uint32)  # what a byte does to CRC-32
 
 
 class Model(NamedTuple):
@@ -96,6 +98,27 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(full), np.diff(before[offsets])
 
 
+def _crc32(words: pa.Array) -> np.ndarray:
+    """CRC-32 of each word: all words at once, byte by byte, and what is beyond ``HEAD`` bytes one by one."""
+    raw = words.cast(pa.large_binary())
+    _, offsets, data = raw.buffers()
+    offsets, data = np.frombuffer(offsets, np.int64)[raw.offset:raw.offset + len(raw) + 1], np.frombuffer(data, np.uint8)
+    lengths = np.diff(offsets)
+    short = np.minimum(lengths, HEAD).astype(np.uint8)
+    order = np.argsort(HEAD - short, kind="stable")
+    starts, state = offsets[:-1][order], np.full(len(order), 0xFFFFFFFF, np.uint32)
+    for k, n in enumerate(len(order) - np.cumsum(np.bincount(short))[:-1]):
+        own = state[:n]
+        byte = own.astype(np.uint8) ^ data.take(starts[:n] + k)
+        own >>= 8
+        own ^= CRC.take(byte)
+    out = np.empty(len(order), np.int64)
+    out[order] = ~state
+    for i in np.flatnonzero(lengths > HEAD):
+        out[i] = zlib.crc32(data[offsets[i] + HEAD:offsets[i + 1]], int(out[i]))
+    return out
+
+
 def _coded(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words, their ids, all words as numbers into these, and how many words each text has."""
     words, counts = _words(texts)
@@ -104,9 +127,7 @@ def _coded(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[pa.Array, np.nd
     ids = pc.index_in(distinct.cast(pa.string()), pa.array(list(vocabulary), pa.string())).fill_null(-1).to_numpy().astype(np.int32)
     rare = np.flatnonzero(ids < 0)
     if len(rare):
-        names = distinct.take(pa.array(rare)).cast(pa.large_binary()).to_pylist()
-        buckets = np.fromiter(map(zlib.crc32, names), np.int64, len(names)) % HASHED
-        ids[rare] = classes_of(vocabulary) * MEMBERS - HASHED + buckets
+        ids[rare] = classes_of(vocabulary) * MEMBERS - HASHED + _crc32(distinct.take(pa.array(rare))) % HASHED
     return coded.dictionary, ids, coded.indices.to_numpy(), counts
 
 
@@ -127,8 +148,12 @@ def _contexts(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray,
     return ids, _around(ids, counts, size), counts
 
 
+def _capped(logits: np.ndarray) -> np.ndarray:
+    return np.minimum(logits, 60, out=logits) if logits.max() > 60 else logits
+
+
 def _soft(logits: np.ndarray) -> np.ndarray:
-    np.exp(np.minimum(logits, 60, out=logits), out=logits)
+    np.exp(_capped(logits), out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
@@ -152,8 +177,7 @@ def _logits(w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
 
 def _log_chance(logits: np.ndarray, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Logarithms of the probabilities of one column in each row."""
-    np.minimum(logits, 60, out=logits)
-    own = logits[rows, of].astype(np.float64)
+    own = _capped(logits)[rows, of].astype(np.float64)
     np.exp(logits, out=logits)
     return np.log(np.exp(own) / logits.sum(axis=1) + 1e-30)
 
@@ -183,10 +207,11 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
     back = classes @ w["classes"].T
     met = np.flatnonzero(np.diff(stops))
     grad = {"classes": hidden.T @ classes, "class_shift": classes.sum(axis=0), "place": np.empty_like(w["place"])}
-    in_class = np.empty((len(met), WIDTH, MEMBERS), np.float32)
+    in_class, shifts = np.empty((len(met), WIDTH, MEMBERS), np.float32), np.empty((len(met), MEMBERS), np.float32)
     for i, c in enumerate(met.tolist()):
         own = slice(stops[c], stops[c + 1])
         np.matmul(hidden[own].T, members[own], out=in_class[i])
+        np.add.reduceat(members[own], [0], axis=0, out=shifts[i:i + 1])
         back[own] += members[own] @ w["members"][c].T
     back -= back * hidden * hidden
     grad["shift"] = back.sum(axis=0)
@@ -206,7 +231,6 @@ def _step(w: dict[str, np.ndarray], state: dict[str, np.ndarray], ids: np.ndarra
     near = np.flatnonzero(seen)
     w["embedding"][near] -= _scaled_step(state["embedding"], near, embedding[near], len(ids))
     w["members"][met] -= _scaled_step(state["members"], met, in_class, len(ids))
-    shifts = np.add.reduceat(members, stops[met], axis=0)
     w["member_shift"][met] -= _scaled_step(state["member_shift"], met, shifts, len(ids))
 
 
@@ -276,7 +300,8 @@ def _bucket() -> Column:
 
 
 def _scored_chunks(rows: DataFrame, vocabulary: dict[str, int], weights: dict[str, np.ndarray]) -> DataFrame:
-    """A row of each chunk: scores by word or bucket, the chunk's distinct rare words and where they occur how often."""
+    """A row of each chunk: scores by word or bucket, the chunk's distinct rare words, and how many each document
+    has, which and how often."""
     size = classes_of(vocabulary) * MEMBERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,14 +316,15 @@ def _scored_chunks(rows: DataFrame, vocabulary: dict[str, int], weights: dict[st
             place[rare] = np.arange(len(rare))
             text, asked = np.repeat(np.arange(len(counts)), counts), place[coded]
             pairs, n = np.unique(text[asked >= 0] * max(1, len(rare)) + asked[asked >= 0], return_counts=True)
+            of, word = np.divmod(pairs, max(1, len(rare)))
+            occurrences = squeeze(np.bincount(of, minlength=len(counts)).astype("<i4"), word.astype("<i4"), n.astype("<i4"))
             columns = [
                 batch.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(before[ends] - before[ends - counts]),
-                words.take(pa.array(rare)).cast(pa.string()), pa.array((pairs // max(1, len(rare))).astype(np.int32)),
-                pa.array((pairs % max(1, len(rare))).astype(np.int32)), pa.array(n.astype(np.int32))]
+                words.take(pa.array(rare)).cast(pa.string())]
             lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([(part << 24) + number], pa.int64()), *lists],
-                names=["chunk", "doc_id", "n_tokens", "log_likelihood", "words", "doc", "word", "n"])
+                [pa.array([(part << 24) + number], pa.int64()), *lists, pa.array([occurrences], pa.binary())],
+                names=["chunk", "doc_id", "n_tokens", "log_likelihood", "words", "occurrences"])
 
     return staged(rows.mapInArrow(run, CHUNK), "lm-chunks")
 
@@ -308,10 +334,11 @@ def _with_shares(chunks: pa.Table, answers: pa.Table) -> pa.Table:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())])
     if not len(chunks):
         return schema.empty_table()
-    doc_id, n_tokens, scores, doc, word, n = (chunks.column(c)[0].values for c in ("doc_id", "n_tokens", "log_likelihood", "doc", "word", "n"))
+    doc_id, n_tokens, scores = (chunks.column(c)[0].values for c in ("doc_id", "n_tokens", "log_likelihood"))
+    words, word, n = unsqueeze(chunks.column("occurrences")[0].as_py())
     shares = np.zeros(len(answers))
     shares[answers.column("word").to_numpy()] = answers.column("share").to_numpy()
-    more = np.bincount(doc.to_numpy(), n.to_numpy() * shares[word.to_numpy()], len(doc_id)) if len(doc) else 0
+    more = np.bincount(np.repeat(np.arange(len(words)), words), n * shares[word], len(words))
     return pa.Table.from_arrays([doc_id, n_tokens, pa.array(scores.to_numpy() + more)], schema=schema)
 
 
